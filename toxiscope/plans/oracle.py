@@ -227,6 +227,7 @@ def oracle_queries() -> dict[str, str]:
             SELECT doc_id, {LABEL} FROM tl, {counts} WHERE {_weight_sql('undersample', LABEL)} = 1.0""",
         "nb_model": f"{nb1} SELECT term, round(lt0, 6) AS log_theta0, round(lt1, 6) AS log_theta1 FROM lt",
         "nb_predict": f"{nb1} SELECT doc_id, label, prediction, round(margin, 3) AS margin FROM pred",
+        "nb_ml": f"{nb1} SELECT doc_id, label, prediction, round(margin, 3) AS margin FROM pred",
         "confusion_matrix": f"""{nb1}
             SELECT 0 AS label, 0 AS prediction, tn AS n FROM counts UNION ALL
             SELECT 0, 1, fp FROM counts UNION ALL SELECT 1, 0, fn FROM counts UNION ALL SELECT 1, 1, tp FROM counts""",

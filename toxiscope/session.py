@@ -73,3 +73,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
+
+
+ROWS_PER_PARTITION = 100_000
+
+
+def size_partitions(df: DataFrame, rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Narrow ``coalesce`` so a partition holds about ``rows_per_partition`` rows.
+
+    Iterative estimators run one job per gradient evaluation; on a small training
+    set the per-task overhead of many near-empty partitions dominates. Large inputs
+    keep their partitioning (the count only ever lowers the partition number).
+    """
+    import math
+
+    n = df.count() if rows is None else rows
+    want = max(1, math.ceil(n / rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
