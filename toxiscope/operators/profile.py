@@ -68,13 +68,15 @@ def tagged_share(df: DataFrame, labels: list[str]) -> DataFrame:
 def label_correlation(df: DataFrame, labels: list[str]) -> DataFrame:
     """A5: Pearson correlation of every label pair (a < b in the given order), one job.
 
-    A constant label has no correlation: NULL (Spark would give NaN).
+    A constant label has no correlation: NULL (``corr`` gives NaN, or fails under ANSI).
     """
     pairs = list(combinations(labels, 2))
-    aggs = [
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-        for i, (a, b) in enumerate(pairs)
-    ]
+    def pearson(a: str, b: str):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        # try_divide: a constant column (zero spread) gives NULL, also under ANSI mode
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    aggs = [pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
     long = wide.select(F.expr(f"stack({len(pairs)}, {parts}) as (label_a, label_b, corr)"))
