@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from toxiscope.operators.features import explode_terms
 from toxiscope.session import cut_lineage
 
 CLASSES = (0, 1)
@@ -64,8 +65,10 @@ def nb_fit(
     tokens_col: str = "tokens",
     smoothing: float = 1.0,
     checkpoint: bool = True,
+    text_col: str | None = None,
 ) -> NBModel:
-    """Fit one NB model per run on ``train`` (rows with a token array and label columns)."""
+    """Fit one NB model per run on ``train`` (label columns plus either a token array
+    ``tokens_col`` or raw text ``text_col``, tokenized and stop-word filtered here)."""
     if not runs:
         raise ValueError("need at least one run")
     names = [r.name for r in runs]
@@ -74,8 +77,9 @@ def nb_fit(
         raise ValueError(f"run names must be identifiers: {bad}")
     if len(set(names)) != len(names):
         raise ValueError("run names must be unique")
+    src = F.col(text_col) if text_col else F.col(tokens_col)
     rows = train.select(
-        F.col(tokens_col).alias("_tokens"),
+        src.alias("_src"),
         *[F.col(r.label_col).cast("int").alias(f"y_{r.name}") for r in runs],
         *[r.weight.cast("double").alias(f"w_{r.name}") for r in runs],
     ).where(reduce(lambda a, b: a & b, [F.col(f"y_{r.name}").isNotNull() for r in runs]))
@@ -89,7 +93,10 @@ def nb_fit(
     prior_row = rows.agg(*prior_aggs).first()
 
     # S_ct per run: explode tokens once, one groupBy(term) with conditional sums.
-    exploded = rows.select("*", F.explode("_tokens").alias("term")).drop("_tokens")
+    keep = [c for c in rows.columns if c != "_src"]
+    exploded = explode_terms(
+        rows, keep, text_col="_src" if text_col else None, tokens_col=None if text_col else "_src"
+    )
     sums = [
         F.sum(F.when(F.col(f"y_{r.name}") == c, F.col(f"w_{r.name}")).otherwise(0.0)).alias(_s(c, r.name))
         for r in runs
@@ -133,26 +140,28 @@ def nb_predict(
     key: str,
     tokens_col: str = "tokens",
     keep_cols: list[str] | None = None,
+    text_col: str | None = None,
 ) -> DataFrame:
     """Scores of every run for every row of ``df``.
 
     Output: ``key, keep_cols…, run, score0, score1, margin, probability, prediction``.
-    Tokens are exploded (``explode_outer``: a document without tokens still gets its
-    prior), left-joined to the term table on ``term`` and summed back per key. The
-    join is a shuffle join that AQE may turn into a broadcast from the measured size
-    of the term table and whose hot-term partitions AQE splits; ``key`` must be unique.
+    Only ``(key, term)`` rows go through the join with the term table (a shuffle join
+    that AQE turns into a broadcast from the measured size of the term table and
+    whose hot-term partitions it splits); the per-key sums are then left-joined back
+    to the rows on the unique ``key``, so a row without any vocabulary term keeps its
+    prior and no null join key piles up in one partition.
     """
     keep_cols = list(keep_cols or [])
-    toks = df.select(key, *keep_cols, F.explode_outer(tokens_col).alias("term"))
-    joined = toks.join(model.terms, "term", "left")
-    sums = [
-        F.sum(F.coalesce(F.col(_lt(c, r)), F.lit(0.0))).alias(f"d{c}_{r}") for r in model.runs for c in CLASSES
-    ]
-    per_doc = joined.groupBy(key, *keep_cols).agg(*sums)
+    terms = explode_terms(df, [key], text_col=text_col, tokens_col=None if text_col else tokens_col)
+    sums = [F.sum(F.col(_lt(c, r))).alias(f"d{c}_{r}") for r in model.runs for c in CLASSES]
+    per_key = terms.join(model.terms, "term").groupBy(key).agg(*sums)
+    per_doc = df.select(key, *keep_cols).join(per_key, key, "left")
     parts = []
     for r in model.runs:
         lp = model.log_prior[r]
-        parts.append(f"'{r}', d0_{r} + ({lp[0]!r}), d1_{r} + ({lp[1]!r})")
+        parts.append(
+            f"'{r}', coalesce(d0_{r}, 0D) + ({lp[0]!r}D), coalesce(d1_{r}, 0D) + ({lp[1]!r}D)"
+        )
     long = per_doc.select(
         key,
         *keep_cols,

@@ -21,7 +21,6 @@ from toxiscope.operators.split import hash_split
 from toxiscope.plans import nb_comparison
 from toxiscope.plans.prepared import (
     cleaned_documents,
-    document_tokens,
     labelled_tokens,
     split_parts,
 )
@@ -66,17 +65,17 @@ def q_stopwords(spark: SparkSession, d: str) -> DataFrame:
 
 # --- F3 F4 F5 -------------------------------------------------------------------------------------
 def q_term_counts(spark: SparkSession, d: str) -> DataFrame:
-    return features.term_counts(document_tokens(spark, d), "doc_id")
+    return features.term_counts(cleaned_documents(spark, d), "doc_id", text_col=TEXT_COL)
 
 
 def q_vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    return features.vocabulary(features.term_counts(document_tokens(spark, d), "doc_id"))
+    return features.vocabulary(features.term_counts(cleaned_documents(spark, d), "doc_id", text_col=TEXT_COL))
 
 
 def q_tfidf(spark: SparkSession, d: str) -> DataFrame:
-    toks = document_tokens(spark, d)
+    docs = cleaned_documents(spark, d)
     n_docs = load_table(spark, d, "documents").count()
-    out = features.tfidf(features.term_counts(toks, "doc_id"), n_docs, "doc_id")
+    out = features.tfidf(features.term_counts(docs, "doc_id", text_col=TEXT_COL), n_docs, "doc_id")
     return out.select("doc_id", "term", "tf", F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -135,13 +134,13 @@ def _weighted_nb(spark: SparkSession, d: str):
     train, test = split_parts(labelled_tokens(spark, d))
     n, pos, ratio = profile.balancing_ratio(train, MAIN_LABEL)
     run = NBRun("m", MAIN_LABEL, balance.weight_expr(MAIN_LABEL, ratio))
-    model = nb_fit(train, [run])
+    model = nb_fit(train, [run], text_col=TEXT_COL)
     return model, test
 
 
 def nb_test_predictions(spark: SparkSession, d: str) -> DataFrame:
     model, test = _weighted_nb(spark, d)
-    p = nb_predict(model, test, "doc_id", keep_cols=[MAIN_LABEL])
+    p = nb_predict(model, test, "doc_id", keep_cols=[MAIN_LABEL], text_col=TEXT_COL)
     return p.select("doc_id", F.col(MAIN_LABEL).alias("label"), "prediction", "margin", "probability")
 
 

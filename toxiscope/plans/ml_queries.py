@@ -85,7 +85,7 @@ def q_word2vec_docs(spark: SparkSession, d: str) -> DataFrame:
     from toxiscope.plans.prepared import cleaned_documents
 
     docs = cleaned_documents(spark, d)
-    fm = text_stages("word2vec").fit(docs)
+    fm = text_stages("word2vec", w2v_partitions=docs.rdd.getNumPartitions()).fit(docs)
     arr = vector_to_array(F.col("features"))
     norm = F.sqrt(F.aggregate(F.transform(arr, lambda x: x * x), F.lit(0.0), lambda a, b: a + b))
     return fm.transform(docs).select(KEY, F.size(arr).cast("long").alias("dims"), norm.alias("norm"))

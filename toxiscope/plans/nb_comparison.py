@@ -13,6 +13,7 @@ from toxiscope.operators.balance import METHODS, method_weight_expr
 from toxiscope.operators.evaluate import best_per_group, class_metrics, confusion_counts, metrics_wide
 from toxiscope.operators.naive_bayes import NBModel, NBRun, nb_fit, nb_predict
 from toxiscope.operators.profile import label_counts
+from toxiscope.schema import TEXT_COL
 
 
 def run_name(label: str, method: str) -> str:
@@ -33,12 +34,12 @@ def make_runs(train: DataFrame, labels: list[str], methods: list[str], key: str)
 def fit_runs(
     train: DataFrame, labels: list[str], methods: list[str], key: str = "doc_id", smoothing: float = 1.0
 ) -> NBModel:
-    return nb_fit(train, make_runs(train, labels, methods, key), "tokens", smoothing)
+    return nb_fit(train, make_runs(train, labels, methods, key), smoothing=smoothing, text_col=TEXT_COL)
 
 
 def predict_runs(model: NBModel, test: DataFrame, labels: list[str], key: str = "doc_id") -> DataFrame:
     """Long predictions ``key, run, label_name, method, label (true), prediction, …``."""
-    preds = nb_predict(model, test, key, "tokens", keep_cols=labels)
+    preds = nb_predict(model, test, key, keep_cols=labels, text_col=TEXT_COL)
     parts = F.split(F.col("run"), "__")
     label_name = parts.getItem(0)
     truth = F.coalesce(*[F.when(label_name == F.lit(l), F.col(l)) for l in labels])
