@@ -28,9 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toxiscope.operators.features import explode_terms
-from toxiscope.session import cut_lineage
+from toxiscope.session import broadcast_if_small, cut_lineage
 
 CLASSES = (0, 1)
+# Largest vocabulary broadcast to the scoring tasks (rows of term + 2 doubles per run).
+BROADCAST_MAX_TERMS = 1_000_000
 
 
 @dataclass
@@ -141,20 +143,24 @@ def nb_predict(
     tokens_col: str = "tokens",
     keep_cols: list[str] | None = None,
     text_col: str | None = None,
+    broadcast_max_terms: int = BROADCAST_MAX_TERMS,
 ) -> DataFrame:
     """Scores of every run for every row of ``df``.
 
     Output: ``key, keep_cols…, run, score0, score1, margin, probability, prediction``.
-    Only ``(key, term)`` rows go through the join with the term table (a shuffle join
-    that AQE turns into a broadcast from the measured size of the term table and
-    whose hot-term partitions it splits); the per-key sums are then left-joined back
-    to the rows on the unique ``key``, so a row without any vocabulary term keeps its
-    prior and no null join key piles up in one partition.
+    Only ``(key, term)`` rows meet the term table. When the vocabulary has at most
+    ``broadcast_max_terms`` rows (checked on the materialized table) it is broadcast:
+    the token stream is then never shuffled and the per-key sums reuse the input's
+    partitioning. Beyond the bound it is a shuffle join on ``term`` whose hot-term
+    partitions AQE splits. The per-key sums are left-joined back to the rows on the
+    unique ``key``, so a row without any vocabulary term keeps its prior and no null
+    join key piles up in one partition.
     """
     keep_cols = list(keep_cols or [])
     terms = explode_terms(df, [key], text_col=text_col, tokens_col=None if text_col else tokens_col)
     sums = [F.sum(F.col(_lt(c, r))).alias(f"d{c}_{r}") for r in model.runs for c in CLASSES]
-    per_key = terms.join(model.terms, "term").groupBy(key).agg(*sums)
+    vocab = broadcast_if_small(model.terms, broadcast_max_terms)
+    per_key = terms.join(vocab, "term").groupBy(key).agg(*sums)
     per_doc = df.select(key, *keep_cols).join(per_key, key, "left")
     parts = []
     for r in model.runs:

@@ -67,12 +67,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large input arrives in many file splits and is left alone (no extra shuffle of
     raw text). A small input stored as one row group would otherwise tokenize in a
-    single task. Partitioning by the key also satisfies a later ``groupBy(key, …)``.
+    single task. The partition number is the session's shuffle partition number, so
+    the hash partitioning satisfies later joins and ``groupBy(key, …)`` on ``key``
+    without another exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, key)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(n, 1), key)
 
 
 ROWS_PER_PARTITION = 100_000
