@@ -99,3 +99,19 @@ def test_streaming_scoring_of_message_files(spark, feats, tmp_path):
     q.awaitTermination()
     sink = q.lastProgress and q.lastProgress["sink"]["description"]
     assert sink
+
+
+def test_oversample_weight_equals_duplicates_for_ml_nb(feats):
+    from pyspark.ml.classification import NaiveBayes
+
+    from toxiscope.operators.balance import oversample, rebalance_for_fit
+
+    _, tr, _ = feats
+    rows, wcol = rebalance_for_fit(tr, "toxic", "doc_id", "oversample", supports_weight=True)
+    assert wcol == "sampleWeight" and rows.count() == tr.count()
+    a = NaiveBayes(labelCol="toxic", weightCol=wcol).fit(rows)
+    b = NaiveBayes(labelCol="toxic").fit(oversample(tr, "toxic", "doc_id"))
+    assert abs(a.theta.toArray() - b.theta.toArray()).max() < 1e-9
+    assert abs(a.pi.toArray() - b.pi.toArray()).max() < 1e-9
+    mlp_rows, none = rebalance_for_fit(tr, "toxic", "doc_id", "oversample", supports_weight=False)
+    assert none is None and mlp_rows.count() == oversample(tr, "toxic", "doc_id").count()

@@ -95,3 +95,34 @@ def method_weight_expr(method: str, label: str, key: str, pos: int, n: int, seed
     if method == "none":
         return F.lit(1.0)
     raise ValueError(f"unknown rebalancing method {method!r}")
+
+
+COPIES_COL = "sampleWeight"
+
+
+def rebalance_for_fit(
+    df: DataFrame, label: str, key: str, method: str, supports_weight: bool, seed: int = SAMPLE_SEED
+) -> tuple[DataFrame, str | None]:
+    """Training rows and weight column for an estimator.
+
+    For estimators with a weight column, over-sampling is a copy count used as the
+    row weight: the weighted loss (or NB sums) equals the one over duplicated rows,
+    but no copy is materialized, so a rare positive with many copies does not grow
+    one partition (or one CV fold) by as many rows as all negatives together.
+    Estimators without weights get real copies, re-spread by ``(key, copy)``.
+    """
+    if method == "weight":
+        return class_weights(df, label), WEIGHT_COL
+    if method == "oversample":
+        n, pos, _ = balancing_ratio(df, label)
+        copies = oversample_copies_expr(label, key, pos, n - pos, seed)
+        if supports_weight:
+            return df.withColumn(COPIES_COL, copies.cast("double")), COPIES_COL
+        dup = df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        parts = dup.rdd.getNumPartitions()
+        return dup.repartition(parts, key, "copy").drop("copy"), None
+    if method == "undersample":
+        return undersample(df, label, key, seed), None
+    if method == "none":
+        return df, None
+    raise ValueError(f"unknown rebalancing method {method!r}; use one of {METHODS} or 'none'")
