@@ -71,3 +71,15 @@ def test_undersample_keeps_every_positive(spark):
     neg = u.where("toxic = 0").count()
     assert 20 <= neg <= 90
     assert sorted(map(tuple, u.collect())) == sorted(map(tuple, balance.undersample(tf.repartition(3), "toxic", "doc_id").collect()))
+
+
+def test_empty_frame_profiles_do_not_fail(spark):
+    empty = spark.createDataFrame([], "toxic int, insult int")
+    rows = profile.label_distribution(empty, ["toxic", "insult"]).collect()
+    assert [(r.positives, r.total, r.share) for r in rows] == [(0, 0, None), (0, 0, None)]
+    t = profile.tagged_share(empty, ["toxic", "insult"]).first()
+    assert (t.tagged, t.total, t.share) == (0, 0, None)
+    import pytest
+
+    with pytest.raises(ValueError):
+        profile.balancing_ratio(empty, "toxic")

@@ -45,7 +45,7 @@ def label_distribution(df: DataFrame, labels: list[str]) -> DataFrame:
     published table shows it.
     """
     counts = label_counts(df, labels)
-    share = F.col("positives") / F.col("total")
+    share = F.try_divide(F.col("positives"), F.col("total"))
     return counts.select(
         "label",
         "positives",
@@ -61,7 +61,7 @@ def tagged_share(df: DataFrame, labels: list[str]) -> DataFrame:
     return df.agg(F.sum(tagged).alias("tagged"), F.count(F.lit(1)).alias("total")).select(
         F.coalesce("tagged", F.lit(0)).alias("tagged"),
         "total",
-        F.round(F.col("tagged") / F.col("total"), 6).alias("share"),
+        F.round(F.try_divide(F.col("tagged"), F.col("total")), 6).alias("share"),
     )
 
 
