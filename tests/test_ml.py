@@ -115,3 +115,20 @@ def test_oversample_weight_equals_duplicates_for_ml_nb(feats):
     assert abs(a.pi.toArray() - b.pi.toArray()).max() < 1e-9
     mlp_rows, none = rebalance_for_fit(tr, "toxic", "doc_id", "oversample", supports_weight=False)
     assert none is None and mlp_rows.count() == oversample(tr, "toxic", "doc_id").count()
+
+
+def test_stream_scores_equal_batch_scores(spark, feats, separable, tmp_path):
+    from toxiscope.operators.score import score_labels
+    from toxiscope.streaming.scoring import score_stream, start_scoring
+
+    fm, tr, te = feats
+    res = train_label(tr, te, "toxic", "doc_id", "nb", "weight")
+    src = str(tmp_path / "src")
+    separable.select("doc_id", "clean_comment").repartition(3).write.parquet(src)
+    stream = spark.readStream.schema("doc_id long, clean_comment string").parquet(src)
+    sink = scratch_path(spark, "eq-sink")
+    q = start_scoring(score_stream(stream, fm, {"toxic": res.model}, "doc_id"), sink, scratch_path(spark, "eq-ck"))
+    q.awaitTermination()
+    streamed = sorted(map(tuple, spark.read.parquet(sink).collect()))
+    batch = sorted(map(tuple, score_labels(fm.transform(separable), {"toxic": res.model}, "doc_id").collect()))
+    assert streamed == batch and len(batch) == 400
