@@ -6,6 +6,7 @@ the relational twin); the iterative ones (LR, SVM, MLP, Word2Vec) are rows-only.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,7 +101,11 @@ def q_mlp_embeddings(spark: SparkSession, d: str) -> DataFrame:
     )
     train, test = train_test(emb, "vec_id")
     n_classes = 10
-    model = make_classifier("mlp", "label", num_inputs=64, num_classes=n_classes, maxIter=200).fit(train)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # read once per L-BFGS iteration otherwise
+    try:
+        model = make_classifier("mlp", "label", num_inputs=64, num_classes=n_classes).fit(train)
+    finally:
+        train.unpersist()
     return model.transform(test).select("vec_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
