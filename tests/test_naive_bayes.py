@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import functions as F
 
 from toxiscope.operators import balance, profile
 from toxiscope.operators.naive_bayes import NBRun, nb_fit, nb_log_theta, nb_predict

@@ -1,6 +1,5 @@
 import pytest
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
-from pyspark.sql import functions as F
 
 from toxiscope.functions.stopwords import ENGLISH_STOP_WORDS
 from toxiscope.functions.text import clean_text, remove_stop_words, tokenize
