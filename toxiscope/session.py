@@ -67,16 +67,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large input arrives in many file splits and is left alone (no extra shuffle of
     raw text). A small input stored as one row group would otherwise tokenize in a
-    single task. The partition number is the session's shuffle partition number, so
-    the hash partitioning satisfies later joins and ``groupBy(key, …)`` on ``key``
-    without another exchange.
+    single task. The hash partitioning on ``key`` satisfies later joins and
+    ``groupBy(key, …)`` on ``key`` without another exchange.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, 1), key)
+    # no fixed count: the exchange is planned with the shuffle partition number (so it
+    # satisfies later key requirements) and AQE may coalesce it to the data's size
+    return df.repartition(key)
 
 
 ROWS_PER_PARTITION = 100_000
