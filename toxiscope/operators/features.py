@@ -93,6 +93,20 @@ def text_stages(
     return Pipeline(stages=[tok, stop, *last])
 
 
+W2V_DOCS_PER_PARTITION = 1000
+
+
+def word2vec_partitions(df: DataFrame, docs_per_partition: int = W2V_DOCS_PER_PARTITION) -> int:
+    """Training partitions for Word2Vec: about ``docs_per_partition`` documents each,
+    at most the cluster's default parallelism (the saved stage used 1, which puts all
+    training in one task; too many partitions average away the per-partition updates)."""
+    import math
+
+    n = df.count()
+    cap = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(cap, math.ceil(n / docs_per_partition)))
+
+
 def with_tokens(df: DataFrame, text_col: str = TEXT_COL, out_col: str = "tokens") -> DataFrame:
     """F1 + F2 as column expressions: ``out_col`` = stop-word-filtered tokens."""
     return df.withColumn(out_col, remove_stop_words(tokenize(text_col)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from toxiscope.operators.balance import WEIGHT_COL, class_weights
 from toxiscope.operators.classifiers import make_classifier
-from toxiscope.operators.features import text_stages
+from toxiscope.operators.features import text_stages, word2vec_partitions
 from toxiscope.operators.score import score_labels
 from toxiscope.operators.split import train_test
 from toxiscope.plans.training import prepare_features, train_label
@@ -86,7 +86,7 @@ def q_word2vec_docs(spark: SparkSession, d: str) -> DataFrame:
     from toxiscope.plans.prepared import cleaned_documents
 
     docs = cleaned_documents(spark, d)
-    fm = text_stages("word2vec", w2v_partitions=docs.rdd.getNumPartitions()).fit(docs)
+    fm = text_stages("word2vec", w2v_partitions=word2vec_partitions(docs)).fit(docs)
     arr = vector_to_array(F.col("features"))
     norm = F.sqrt(F.aggregate(F.transform(arr, lambda x: x * x), F.lit(0.0), lambda a, b: a + b))
     return fm.transform(docs).select(KEY, F.size(arr).cast("long").alias("dims"), norm.alias("norm"))
