@@ -132,3 +132,11 @@ def test_stream_scores_equal_batch_scores(spark, feats, separable, tmp_path):
     streamed = sorted(map(tuple, spark.read.parquet(sink).collect()))
     batch = sorted(map(tuple, score_labels(fm.transform(separable), {"toxic": res.model}, "doc_id").collect()))
     assert streamed == batch and len(batch) == 400
+
+
+def test_single_class_label_gives_null_metrics(feats):
+    _, tr, te = feats
+    constant = tr.withColumn("toxic", F.lit(0))
+    res = train_label(constant, te, "toxic", "doc_id", "svm", "weight")
+    assert res.model is None and res.predictions.count() == 0
+    assert all(r.value is None for r in res.metrics.collect())
