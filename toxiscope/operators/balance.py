@@ -101,7 +101,13 @@ COPIES_COL = "sampleWeight"
 
 
 def rebalance_for_fit(
-    df: DataFrame, label: str, key: str, method: str, supports_weight: bool, seed: int = SAMPLE_SEED
+    df: DataFrame,
+    label: str,
+    key: str,
+    method: str,
+    supports_weight: bool,
+    seed: int = SAMPLE_SEED,
+    counts: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, str | None]:
     """Training rows and weight column for an estimator.
 
@@ -110,11 +116,15 @@ def rebalance_for_fit(
     but no copy is materialized, so a rare positive with many copies does not grow
     one partition (or one CV fold) by as many rows as all negatives together.
     Estimators without weights get real copies, re-spread by ``(key, copy)``.
+    ``counts`` = (rows, positives) when already known (saves one pass).
     """
+    if counts is None and method in ("weight", "oversample", "undersample"):
+        counts = balancing_ratio(df, label)[:2]
     if method == "weight":
-        return class_weights(df, label), WEIGHT_COL
+        n, pos = counts
+        return df.withColumn(WEIGHT_COL, weight_expr(label, (n - pos) / n)), WEIGHT_COL
     if method == "oversample":
-        n, pos, _ = balancing_ratio(df, label)
+        n, pos = counts
         copies = oversample_copies_expr(label, key, pos, n - pos, seed)
         if supports_weight:
             return df.withColumn(COPIES_COL, copies.cast("double")), COPIES_COL
@@ -122,7 +132,8 @@ def rebalance_for_fit(
         parts = dup.rdd.getNumPartitions()
         return dup.repartition(parts, key, "copy").drop("copy"), None
     if method == "undersample":
-        return undersample(df, label, key, seed), None
+        n, pos = counts
+        return df.where(undersample_keep_expr(label, key, pos, n - pos, seed)), None
     if method == "none":
         return df, None
     raise ValueError(f"unknown rebalancing method {method!r}; use one of {METHODS} or 'none'")
