@@ -56,11 +56,23 @@ def undersample_keep_expr(label: str, key: str, pos: int, neg: int, seed: int =
     return (F.col(label) == 1) | (unit_hash(key, seed) < F.lit(keep_rate))
 
 
-def oversample(df: DataFrame, label: str, key: str, seed: int = SAMPLE_SEED) -> DataFrame:
-    """B2: duplicate positives to ≈1:1; adds ``copy`` (1-based). Rows stay in their partition."""
-    n, pos, _ = balancing_ratio(df, label)
+def oversample(
+    df: DataFrame,
+    label: str,
+    key: str,
+    seed: int = SAMPLE_SEED,
+    counts: tuple[int, int] | None = None,
+) -> DataFrame:
+    """B2: duplicate positives to ≈1:1; adds ``copy`` (1-based).
+
+    The copies of one row are hash-partitioned by ``(key, copy)``: with a very rare
+    positive class one row can have as many copies as there are negatives, and
+    leaving them where ``explode`` made them would put that whole group in one task.
+    """
+    n, pos = counts if counts is not None else balancing_ratio(df, label)[:2]
     copies = oversample_copies_expr(label, key, pos, n - pos, seed)
-    return df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    dup = df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    return dup.repartition(max(1, df.rdd.getNumPartitions()), key, "copy")
 
 
 def undersample(df: DataFrame, label: str, key: str, seed: int = SAMPLE_SEED) -> DataFrame:
@@ -128,9 +140,7 @@ def rebalance_for_fit(
         copies = oversample_copies_expr(label, key, pos, n - pos, seed)
         if supports_weight:
             return df.withColumn(COPIES_COL, copies.cast("double")), COPIES_COL
-        dup = df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        parts = dup.rdd.getNumPartitions()
-        return dup.repartition(parts, key, "copy").drop("copy"), None
+        return oversample(df, label, key, seed, counts=(n, pos)).drop("copy"), None
     if method == "undersample":
         n, pos = counts
         return df.where(undersample_keep_expr(label, key, pos, n - pos, seed)), None
