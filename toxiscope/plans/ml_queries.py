@@ -16,7 +16,7 @@ from toxiscope.operators.classifiers import make_classifier
 from toxiscope.operators.features import text_stages, word2vec_partitions
 from toxiscope.operators.score import score_labels
 from toxiscope.operators.split import train_test
-from toxiscope.plans.training import prepare_features, train_label
+from toxiscope.plans.training import prepare_features, train_all, train_label
 from toxiscope.schema import DRIVER_LABELS
 from toxiscope.session import scratch_path
 from toxiscope.sources import model_io
@@ -113,10 +113,9 @@ def q_score_multilabel(spark: SparkSession, d: str) -> DataFrame:
     """M8–M10 + S5–S7: one weighted NB per label, saved and re-loaded, then every
     conversation turn scored for all labels in one wide plan."""
     train, test = _split(spark, d)
-    fm, train_f, _ = prepare_features(train, test, KEY, DRIVER_LABELS, "hashing")
-    models = {}
-    for label in DRIVER_LABELS:
-        models[label] = make_classifier("nb", label, weight_col=WEIGHT_COL).fit(class_weights(train_f, label))
+    fm, train_f, test_f = prepare_features(train, test, KEY, DRIVER_LABELS, "hashing")
+    results = train_all(train_f, test_f, DRIVER_LABELS, KEY, "nb", "weight")
+    models = {label: r.model for label, r in results.items()}
     base = scratch_path(spark, "models")
     model_io.save_model(fm, f"{base}/features")
     model_io.save_label_models(models, base, "nb")
