@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from toxiscope.operators import balance
 from toxiscope.session import broadcast_if_small, checkpoint_dir, cut_lineage, scratch_path, size_partitions, spread
