@@ -70,3 +70,9 @@ def test_empty_document_gets_prior(spark, parts):
     r = nb_predict(model, empty, "doc_id").first()
     assert r.score0 == pytest.approx(model.log_prior["m"][0])
     assert r.score1 == pytest.approx(model.log_prior["m"][1])
+
+
+def test_empty_vocabulary_is_refused(spark):
+    rows = spark.createDataFrame([(1, [], 0), (2, [], 1)], "doc_id long, tokens array<string>, toxic int")
+    with pytest.raises(ValueError):
+        nb_fit(rows, [NBRun("m", "toxic")])

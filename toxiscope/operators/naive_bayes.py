@@ -111,6 +111,8 @@ def nb_fit(
         F.count(F.lit(1)).alias("V"), *[F.sum(_s(c, r.name)).alias(_s(c, r.name)) for r in runs for c in CLASSES]
     ).first()
     vocab = int(tot["V"])
+    if vocab == 0:
+        raise ValueError("the training rows hold no terms: the vocabulary is empty")
 
     log_prior: dict[str, dict[int, float]] = {}
     lt_cols = []
