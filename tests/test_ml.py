@@ -140,3 +140,24 @@ def test_single_class_label_gives_null_metrics(feats):
     res = train_label(constant, te, "toxic", "doc_id", "svm", "weight")
     assert res.model is None and res.predictions.count() == 0
     assert all(r.value is None for r in res.metrics.collect())
+
+
+def test_stream_restart_resumes_without_duplicates(spark, feats, tmp_path):
+    from toxiscope.streaming.scoring import read_message_stream, score_stream, start_scoring
+
+    fm, tr, te = feats
+    res = train_label(tr, te, "toxic", "doc_id", "nb", "weight")
+    d = tmp_path / "inbox"
+    d.mkdir()
+    (d / "1.txt").write_text("rude idiot")
+    (d / "2.txt").write_text("thanks for the edit")
+    sink, ckpt = scratch_path(spark, "rs-sink"), scratch_path(spark, "rs-ck")
+
+    def run():
+        scored = score_stream(read_message_stream(spark, str(d)), fm, {"toxic": res.model}, "message_id")
+        start_scoring(scored, sink, ckpt).awaitTermination()
+        return spark.read.parquet(sink).count()
+
+    assert run() == 2
+    (d / "3.txt").write_text("awful stupid hate")
+    assert run() == 3  # only the new file is scored; committed batches are not redone
