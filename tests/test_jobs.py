@@ -53,3 +53,14 @@ def test_unknown_label_rejected(spark, tmp_path):
     train = _csv(tmp_path / "train.csv", 2)
     with pytest.raises(ValueError):
         train_job(spark, train, train, "nope")
+
+
+def test_profile_job(spark, tmp_path):
+    from toxiscope.plans.jobs import profile_job
+
+    path = _csv(tmp_path / "p.csv", 1)
+    frames = profile_job(spark, path, out=str(tmp_path / "prof"))
+    dist = {r.label: r.positives for r in frames["distribution"].collect()}
+    assert dist == {"toxic": 2, "severe_toxic": 1, "obscene": 1, "threat": 0, "insult": 2, "identity_hate": 0}
+    assert frames["tagged"].first().share == 0.5
+    assert spark.read.parquet(str(tmp_path / "prof" / "correlation")).count() == 15

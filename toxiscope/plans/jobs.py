@@ -88,3 +88,29 @@ def score_job(
     if out:
         write_frame(scored, out)
     return scored
+
+
+def profile_job(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    labels: list[str] | None = None,
+    out: str | None = None,
+) -> dict[str, DataFrame]:
+    """A3–A5 on a labelled-comment file: ``distribution``, ``tagged`` and
+    ``correlation`` frames (each from one aggregate pass), written under ``out``."""
+    from toxiscope.operators import profile
+
+    labels = list(labels or LABELS)
+    df = read_comments(spark, path, fmt)
+    for label in labels:
+        validate_label(df, label)
+    frames = {
+        "distribution": profile.label_distribution(df, labels),
+        "tagged": profile.tagged_share(df, labels),
+        "correlation": profile.label_correlation(df, labels),
+    }
+    if out:
+        for name, frame in frames.items():
+            write_frame(frame, f"{out.rstrip('/')}/{name}")
+    return frames
