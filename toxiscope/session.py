@@ -67,15 +67,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large input arrives in many file splits and is left alone (no extra shuffle of
     raw text). A small input stored as one row group would otherwise tokenize in a
-    single task. The hash partitioning on ``key`` satisfies later joins and
-    ``groupBy(key, …)`` on ``key`` without another exchange.
+    single task. The hash partitioning on ``key`` satisfies later ``groupBy(key, …)``
+    and joins on ``key`` between frames spread this way without another exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    # no fixed count: the exchange is planned with the shuffle partition number (so it
-    # satisfies later key requirements) and AQE may coalesce it to the data's size
-    return df.repartition(key)
+    # CPU-bound text work wants about two tasks per core, not the session's shuffle
+    # partition number (often 200 for a few thousand rows); aggregations on the key
+    # accept any partition count, and joins whose sides both come from here line up
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
+    return df.repartition(max(1, n), key)
 
 
 ROWS_PER_PARTITION = 100_000
