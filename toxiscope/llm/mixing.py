@@ -75,8 +75,10 @@ def source_targets(
 
 
 def copies(rate: Column, key: Column, seed: int = SEED) -> Column:
-    """floor(rate) plus a Bernoulli copy: uniform = top 53 bits of a 64-bit key hash."""
-    uniform = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11).cast("double") / F.lit(float(1 << 53))
+    """floor(rate) plus a Bernoulli copy; its uniform number is the first 52 bits of
+    md5("seed:key"), the same in every engine and on every run (a null key is empty)."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    uniform = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     whole = F.floor(rate)
     return (whole + F.when(uniform < rate - whole, 1).otherwise(0)).cast("long")
 

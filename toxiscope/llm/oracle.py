@@ -22,12 +22,39 @@ WITH d AS (
     sum(source_size) OVER () AS total
   FROM w
 ), l AS (
-  SELECT min((1.5 * total - held) / open_weight) FILTER
+  SELECT min_by((1.5 * total - held) / open_weight, 2.0 * source_size / weight) FILTER
     (WHERE (1.5 * total - held) / open_weight < 2.0 * source_size / weight) AS level FROM o
+), t AS (
+  SELECT source, source_size, least(2.0 * source_size, weight * coalesce(level, 0)) AS target FROM w, l
+), r AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+    CAST('0x' || substr(md5('20:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
+      / 4503599627370496.0 AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
-SELECT source, CAST(source_size AS BIGINT) AS source_size,
-       round(least(2.0 * source_size, weight * coalesce(level, 1e300)), 6) AS target
-FROM w, l
+SELECT doc_id, source, size, source_size, CAST(target AS DOUBLE) AS target,
+  CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
 """
 
-ORACLES: dict[str, str] = {}
+OP9_KDTREE = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_mixing": OP2_MIXING,
+    "op9_kdtree": OP9_KDTREE,
+}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.llm import mixing, simhash
-from toxiscope.llm.common import count_words, read_table, stored
+from toxiscope.llm import kdtree, langid, mixing, packing, simhash
+from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +27,32 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from the documents not held out."""
+    docs = spread_rows(
+        read_table(spark, sf_dir, "documents")
+        .withColumn("held_out", id_remainder(F.col("doc_id"), 3) == 1)
+        .select("doc_id", "text", "lang", "held_out")
+    )
+    net = langid.train(docs.where(~F.col("held_out")))
+    found = langid.predict(docs.select("doc_id", "held_out", "text"), net)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every query vector."""
+    return kdtree.integer_topk(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in the packed sequences."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_langid": op4_langid,
+    "op9_kdtree": op9_kdtree,
+    "op10_packing": op10_packing,
 }
