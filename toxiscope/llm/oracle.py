@@ -38,6 +38,34 @@ SELECT doc_id, source, size, source_size, CAST(target AS DOUBLE) AS target,
 FROM r
 """
 
+OP7_TOOLCALLS = r"""
+WITH e AS (
+  SELECT conv_id, turn, role, text,
+    CASE WHEN role IN ('user', 'system') THEN 'call' WHEN role = 'assistant' THEN 'result' ELSE 'message' END AS kind,
+    CASE WHEN role IN ('user', 'system') THEN 'call_' || turn WHEN role = 'assistant' THEN 'call_' || (turn - 1) END AS call_id,
+    CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS position
+  FROM conversations
+), j AS (
+  SELECT a.*, b.turn AS linked_turn
+  FROM e a LEFT JOIN e b ON a.conv_id = b.conv_id AND a.call_id = b.call_id AND a.kind <> b.kind
+)
+SELECT conv_id, position, turn, kind, call_id, linked_turn,
+  CASE WHEN kind = 'message' THEN 'message' WHEN linked_turn IS NOT NULL THEN 'linked'
+       WHEN kind = 'call' THEN 'unanswered' ELSE 'orphan' END AS status,
+  CASE role WHEN 'user' THEN CASE WHEN length(text) < 20 THEN 'short:query' ELSE '' END
+            WHEN 'system' THEN CASE WHEN length(text) < 1 THEN 'short:prompt' ELSE '' END END AS problems,
+  md5(CASE role
+    WHEN 'user' THEN '{"role":"assistant","tool_calls":[{'
+      || CASE WHEN turn >= 2 THEN '"after":["call_' || (turn - 2) || '"],' ELSE '' END
+      || '"arguments":{"query":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '},"id":"' || call_id
+      || '","name":"ask"}]}'
+    WHEN 'system' THEN '{"role":"assistant","tool_calls":[{"arguments":{"prompt":' || CAST(to_json(text) AS VARCHAR)
+      || '},"id":"' || call_id || '","name":"configure"}]}'
+    WHEN 'assistant' THEN '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":"tool","tool_call_id":"' || call_id || '"}'
+    ELSE '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' END) AS json_md5
+FROM j
+"""
+
 OP9_KDTREE = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
@@ -56,5 +84,6 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 ORACLES: dict[str, str] = {
     "op2_mixing": OP2_MIXING,
+    "op7_toolcalls": OP7_TOOLCALLS,
     "op9_kdtree": OP9_KDTREE,
 }

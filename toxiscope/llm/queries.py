@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.llm import kdtree, langid, mixing, packing, simhash
+from toxiscope.llm import kdtree, langid, lattice_lm, mixing, packing, simhash, toolcalls
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
 
@@ -39,6 +39,20 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice and base log probability of every document."""
+    held_out = id_remainder(F.col("doc_id"), 5) == 1
+    keep = {"doc_id": F.col("doc_id"), "held_out": held_out}
+    return lattice_lm.score_documents(read_table(spark, sf_dir, "documents"), ~held_out, keep, group="lang")
+
+
+def op7_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event of the conversations, read as tool use, linked, checked and in order."""
+    calls = toolcalls.as_tool_messages(read_table(spark, sf_dir, "conversations"))
+    found = toolcalls.link_tool_calls(calls, toolcalls.TOOLS)
+    return found.withColumn("json_md5", F.md5("json")).drop("json")
+
+
 def op9_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest integer inner products of every query vector."""
     return kdtree.integer_topk(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -53,6 +67,8 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_langid": op4_langid,
+    "op6_lattice": op6_lattice,
+    "op7_toolcalls": op7_toolcalls,
     "op9_kdtree": op9_kdtree,
     "op10_packing": op10_packing,
 }
