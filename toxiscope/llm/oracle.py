@@ -38,6 +38,49 @@ SELECT doc_id, source, size, source_size, CAST(target AS DOUBLE) AS target,
 FROM r
 """
 
+#: Lines, their windows of at least five words, and the lines of later copies. ``docs`` is
+#: a table expression with doc_id and text.
+LINE_DEDUP = r"""
+  l0 AS (
+    SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS line_no
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {docs} WHERE text IS NOT NULL)
+  ), l1 AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l0
+  ), l2 AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos,
+      sum(words) OVER (PARTITION BY doc_id ORDER BY line_no) AS upto
+    FROM l1 WHERE words > 0
+  ), seqs AS (
+    SELECT doc_id, list(line ORDER BY pos) AS ls FROM l2 GROUP BY doc_id
+  ), pairs AS (
+    SELECT a.doc_id, a.pos AS p, b.pos AS e FROM l2 a JOIN l2 b
+      ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos AND a.pos + 4 AND b.upto - a.upto + a.words >= 5
+  ), wins AS (
+    SELECT doc_id, p, min(e) AS e FROM pairs GROUP BY doc_id, p
+    UNION SELECT doc_id, max(p) AS p, e FROM pairs GROUP BY doc_id, e
+  ), named AS (
+    SELECT doc_id, p, e, row_number() OVER (PARTITION BY list_slice(ls, p, e) ORDER BY doc_id, p) AS copy
+    FROM wins JOIN seqs USING (doc_id)
+  ), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, e + 1)) AS pos FROM named WHERE copy > 1
+  ), gone_lines AS (
+    SELECT doc_id, line_no FROM gone JOIN l2 USING (doc_id, pos)
+  ), kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text
+    FROM l0 ANTI JOIN gone_lines USING (doc_id, line_no) GROUP BY doc_id
+  ), cut AS (
+    SELECT doc_id, count(*) AS n_removed, string_agg(line_no, ',' ORDER BY line_no) AS removed
+    FROM gone_lines GROUP BY doc_id
+  )
+"""
+
+OP5_LINEDEDUP = "WITH " + LINE_DEDUP.format(docs="documents") + r"""
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed,
+  md5(CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END) AS text_md5
+FROM documents d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP7_TOOLCALLS = r"""
 WITH e AS (
   SELECT conv_id, turn, role, text,
@@ -84,6 +127,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 ORACLES: dict[str, str] = {
     "op2_mixing": OP2_MIXING,
+    "op5_linededup": OP5_LINEDEDUP,
     "op7_toolcalls": OP7_TOOLCALLS,
     "op9_kdtree": OP9_KDTREE,
 }

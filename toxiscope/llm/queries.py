@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.llm import kdtree, langid, lattice_lm, mixing, packing, simhash, toolcalls
+from toxiscope.llm import kdtree, langid, lattice_lm, linededup, mixing, packing, simhash, toolcalls
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
 
@@ -39,6 +39,17 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines before and after deduplication, and the text that is left."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
+    found = linededup.dedup_lines(docs.withColumn("n_lines", lines), removed="removed")
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed"), F.md5("text").alias("text_md5"),
+    )
+
+
 def op6_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lattice and base log probability of every document."""
     held_out = id_remainder(F.col("doc_id"), 5) == 1
@@ -67,6 +78,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_langid": op4_langid,
+    "op5_linededup": op5_linededup,
     "op6_lattice": op6_lattice,
     "op7_toolcalls": op7_toolcalls,
     "op9_kdtree": op9_kdtree,
