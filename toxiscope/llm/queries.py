@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.llm import kdtree, langid, lattice_lm, linededup, mixing, packing, simhash, toolcalls
+from toxiscope.llm import kdtree, langid, lattice_lm, linededup, mixing, packing, passages, simhash, toolcalls
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
 
@@ -64,6 +64,12 @@ def op7_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("json_md5", F.md5("json")).drop("json")
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that repeats across or within the documents, and whether it is removed."""
+    found = passages.repeated_passages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", "words", "n_units", "cluster_id", "removed")
+
+
 def op9_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest integer inner products of every query vector."""
     return kdtree.integer_topk(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -81,6 +87,7 @@ QUERIES = {
     "op5_linededup": op5_linededup,
     "op6_lattice": op6_lattice,
     "op7_toolcalls": op7_toolcalls,
+    "op8_passages": op8_passages,
     "op9_kdtree": op9_kdtree,
     "op10_packing": op10_packing,
 }
