@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.llm import kdtree, langid, lattice_lm, linededup, mixing, packing, passages, simhash, toolcalls
+from toxiscope.llm import kdtree, langid, lattice_lm, linededup, mixing, nndescent, packing, passages, simhash, toolcalls
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
 
+def op1_nndescent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every query vector."""
+    return nndescent.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source's target and the words the mix takes of each."""
     docs = read_table(spark, sf_dir, "documents")
@@ -81,6 +86,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nndescent": op1_nndescent,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
     "op4_langid": op4_langid,
