@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toxiscope.llm.common import spread_rows, stored
+from toxiscope.llm.common import free_name, spread_rows, stored
 from toxiscope.llm.components import connected_components
 
 #: Production parameters of the registered query (fixed by its contract).
@@ -227,6 +227,24 @@ def components_of(rows: DataFrame, radius: int = RADIUS, id_col: str = "id") ->
     return rows.join(by_fp, "fp")
 
 
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
+    """One row of each component: the smallest key (null last), then the first stored row.
+
+    The text is written once, beside a row number; components are found on the numbers.
+    """
+    row = free_name(docs, "_simhash_row")
+    columns = docs.columns
+    docs = stored(spread_rows(docs).withColumn(row, F.monotonically_increasing_id()), "simhash-documents")
+    rows = stored(fingerprints(docs, text, {"id": F.col(key), "row": F.col(row)}, shingle), "simhash-fp")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    per_fp = stored(rows.groupBy("fp").agg(F.min(place).alias("first")), "simhash-first")
+    comp = connected_components(close_links(per_fp.select("fp"), radius)).withColumnRenamed("node", "fp")
+    kept = per_fp.join(comp, "fp", "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+    return docs.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(*columns)
+
+
 def hex_fingerprint(fp: Column) -> Column:
     """16 lower-case hex digits of the unsigned 64 bits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
