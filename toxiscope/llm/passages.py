@@ -7,8 +7,8 @@ different one gets a MinHash signature of its five-word shingles. The bands are
 that a pair at the threshold collides in some band with probability ``RECALL`` or more.
 
 A bucket's paragraphs are compared with its most frequent one (a star, linear in the
-bucket) by exact Jaccard similarity of the shingle sets. Pairs that a star leaves open
-(both in a bucket, not yet in one component) are compared in blocks of bounded size, and
+bucket) by exact Jaccard similarity of the shingle sets. Pairs that the stars leave open
+(in one bucket, but not yet in one component) are compared in blocks of bounded size, and
 only the links of a spanning forest leave a block; so no colliding pair at the threshold
 is lost and nothing quadratic is written. Clusters are connected components.
 
@@ -250,13 +250,12 @@ def similar_links(paragraphs: DataFrame, threshold: float, recall: float, rows:
     first = stored(with_body.select("centre", "uid", "x", "body").mapInArrow(_verified(threshold), "src long, dst long"), "passage-links")
     part = stored(connected_components(first), "passage-parts")
     label = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label"))
-    left = (
-        star.join(label("uid"), "uid", "left").join(label("centre"), "centre", "left")
-        .withColumn("label", F.coalesce("uid_label", "uid"))
-        .where(F.col("label") != F.coalesce("centre_label", "centre"))
-        .select("key", "uid", "label")
+    # a bucket in one component is settled; in the others every pair of two components is open
+    members = star.select("key", "uid").unionByName(star.select("key", F.col("centre").alias("uid")).distinct())
+    left = stored(
+        members.join(label("uid"), "uid", "left").select("key", "uid", F.coalesce("uid_label", "uid").alias("label")),
+        "passage-open",
     )
-    left = stored(left, "passage-open")
     sizes = left.groupBy("key").agg(
         F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")
     ).where("lo < hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
