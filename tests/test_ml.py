@@ -95,10 +95,11 @@ def test_streaming_scoring_of_message_files(spark, feats, tmp_path):
     (d / "a.txt").write_text("rude idiot hate")
     (d / "b.txt").write_text("thanks edit page")
     scored = score_stream(read_message_stream(spark, str(d)), fm, {"toxic": res.model}, "message_id")
-    q = start_scoring(scored, scratch_path(spark, "t-sink"), scratch_path(spark, "t-ck"))
+    sink = scratch_path(spark, "t-sink")
+    q = start_scoring(scored, sink, scratch_path(spark, "t-ck"))
     q.awaitTermination()
-    sink = q.lastProgress and q.lastProgress["sink"]["description"]
-    assert sink
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r.prediction for r in rows) == [0, 1] and {r.label for r in rows} == {"toxic"}
 
 
 def test_oversample_weight_equals_duplicates_for_ml_nb(feats):
@@ -161,3 +162,56 @@ def test_stream_restart_resumes_without_duplicates(spark, feats, tmp_path):
     assert run() == 2
     (d / "3.txt").write_text("awful stupid hate")
     assert run() == 3  # only the new file is scored; committed batches are not redone
+
+
+def test_one_positive_does_not_break_cross_validation(feats):
+    _, tr, te = feats
+    one = tr.withColumn("toxic", F.when(F.col("doc_id") == tr.agg(F.min("doc_id")).first()[0], 1).otherwise(0))
+    res = train_label(one, te, "toxic", "doc_id", "svm", "weight", num_folds=3)
+    assert res.model is not None
+
+
+def test_folds_hold_positives_in_turn(spark):
+    from toxiscope.operators.tuning import with_folds
+
+    df = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(200)], "doc_id long, toxic int")
+    rows = with_folds(df, "doc_id", 5, "toxic").where("toxic = 1").groupBy("fold").count().collect()
+    assert {r.fold: r["count"] for r in rows} == dict.fromkeys(range(5), 2)
+
+
+def test_folds_are_honoured_for_every_kind(feats):
+    from pyspark.ml.tuning import CrossValidatorModel
+
+    import toxiscope.plans.training as training
+
+    _, tr, te = feats
+    seen = []
+    keep = training.cross_validate
+    training.cross_validate = lambda *a, **k: seen.append(a[4]) or keep(*a, **k)
+    try:
+        assert train_label(tr, te, "toxic", "doc_id", "nb", num_folds=3).model is not None
+    finally:
+        training.cross_validate = keep
+    assert seen == [3] and CrossValidatorModel
+
+
+def test_null_labels_and_null_text_are_survived(spark):
+    rows = [(i, None if i % 7 == 0 else ("rude idiot" if i % 2 else "thanks page"), None if i % 5 == 0 else i % 2, i % 2)
+            for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, clean_comment string, toxic int, insult int")
+    train, test = train_test(df, "doc_id")
+    for kind in ("hashing", "tfidf"):
+        _, tr, te = prepare_features(train, test, "doc_id", ["toxic", "insult"], kind, num_features=64)
+        res = train_label(tr, te, "toxic", "doc_id", "nb")
+        assert res.predictions.count() == test.where("toxic is not null").count()
+
+
+def test_model_comparison_ranks_every_run(separable):
+    from toxiscope.plans.comparison import compare_models
+
+    train, test = train_test(separable, "doc_id")
+    rows = compare_models(train, test, "doc_id", ["toxic"], kinds=("nb", "lr", "svm"), methods=("weight", "undersample"),
+                          num_features=1 << 10).collect()
+    assert len(rows) == 6 and sorted(r["rank"] for r in rows) == list(range(1, 7))
+    best = sorted(rows, key=lambda r: r["rank"])
+    assert best[0].f1 >= 0.9 and [r.f1 for r in best] == sorted((r.f1 for r in best), reverse=True)

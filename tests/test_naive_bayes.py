@@ -5,14 +5,15 @@ from pyspark.ml.feature import CountVectorizer
 
 from toxiscope.operators import balance, profile
 from toxiscope.operators.naive_bayes import NBRun, nb_fit, nb_log_theta, nb_predict
-from toxiscope.plans.prepared import labelled_tokens, split_parts
+from toxiscope.operators.features import with_tokens
+from toxiscope.plans.prepared import labelled_documents, split_parts
 
 from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
 def parts(spark):
-    train, test = split_parts(labelled_tokens(spark, SF_SMALL))
+    train, test = split_parts(with_tokens(labelled_documents(spark, SF_SMALL)))
     return train.cache(), test.cache()
 
 
@@ -76,3 +77,26 @@ def test_empty_vocabulary_is_refused(spark):
     rows = spark.createDataFrame([(1, [], 0), (2, [], 1)], "doc_id long, tokens array<string>, toxic int")
     with pytest.raises(ValueError):
         nb_fit(rows, [NBRun("m", "toxic")])
+
+
+def test_null_label_of_one_run_leaves_the_other_run_unchanged(spark):
+    rows = [(1, ["a", "b"], 0, 1), (2, ["b", "c"], 1, 0), (3, ["d", "a"], 1, None), (4, ["e"], None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>, toxic int, other int")
+    both = nb_fit(df, [NBRun("t", "toxic"), NBRun("o", "other")])
+    for name, label in (("t", "toxic"), ("o", "other")):
+        alone = nb_fit(df.where(f"{label} is not null"), [NBRun("x", label)])
+        assert both.vocab_sizes[name] == alone.vocab_sizes["x"]
+        assert both.log_prior[name] == pytest.approx(alone.log_prior["x"])
+        a = sorted(map(tuple, nb_log_theta(both, name).collect()))
+        assert a == sorted(map(tuple, nb_log_theta(alone, "x").collect()))
+    assert both.vocab_sizes == {"t": 4, "o": 3}
+
+
+def test_scoring_beyond_the_broadcast_budget(spark, parts):
+    train, test = parts
+    model = nb_fit(train, [NBRun("m", "toxic")])
+    wide = nb_predict(model, test, "doc_id")
+    beyond = nb_predict(model, test, "doc_id", broadcast_max_bytes=0)
+    near = {r.doc_id: r.margin for r in wide.collect()}
+    for r in beyond.collect():
+        assert r.margin == pytest.approx(near[r.doc_id], abs=1e-9)

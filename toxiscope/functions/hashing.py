@@ -20,10 +20,3 @@ def unit_hash(key: str | Column, seed: int | str) -> Column:
     digest = F.md5(F.concat(k.cast("string"), F.lit(f":{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(_TWO_POW_32)
 
-
-def unit_hash_sql(key_sql: str, seed: int | str) -> str:
-    """The same number as a DuckDB / ANSI-ish SQL expression (used by oracle queries)."""
-    return (
-        f"(('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT"
-        f" / {_TWO_POW_32})"
-    )

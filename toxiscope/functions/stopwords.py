@@ -1,36 +1,17 @@
-"""The English stop-word list used by the word filter.
+"""The English stop-word list used by the word filter: the default that Spark ML ships.
 
-Fixed values: the 181-word English list of the saved stop-word stage, in its
-original order. It is the same list, in the same order, as the English default
-that Spark ML ships (``StopWordsRemover.loadDefaultStopWords("english")``);
-a test checks that the two stay equal.
+It equals the 181-word list of the saved stop-word stage, in order. (The SQL oracles keep a
+list of their own.)
 """
 
-# Fixed values (must equal the saved stage's list, in this order).
-ENGLISH_STOP_WORDS = [
-    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your",
-    "yours", "yourself", "yourselves", "he", "him", "his", "himself", "she", "her", "hers",
-    "herself", "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what",
-    "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are",
-    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do",
-    "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or",
-    "because", "as", "until", "while", "of", "at", "by", "for", "with", "about",
-    "against", "between", "into", "through", "during", "before", "after", "above", "below", "to",
-    "from", "up", "down", "in", "out", "on", "off", "over", "under", "again",
-    "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
-    "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
-    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s",
-    "t", "can", "will", "just", "don", "should", "now", "i'll", "you'll", "he'll",
-    "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm",
-    "you're", "he's", "she's", "it's", "we're", "they're", "i've", "we've", "you've", "they've",
-    "isn't", "aren't", "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't",
-    "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's",
-    "how's", "let's", "ought", "that's", "there's", "what's", "when's", "where's", "who's", "why's",
-    "would",
-]
+from __future__ import annotations
 
+import functools
 
-def sql_list_literal(words: list[str] | None = None) -> str:
-    """The list as a SQL list literal (``['i', 'me', ...]``), quotes doubled."""
-    words = ENGLISH_STOP_WORDS if words is None else words
-    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+@functools.cache
+def english_stop_words() -> tuple[str, ...]:
+    """The list; needs a running session, as every plan that uses it does."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    return tuple(StopWordsRemover.loadDefaultStopWords("english"))

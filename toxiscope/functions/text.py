@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from toxiscope.functions.stopwords import ENGLISH_STOP_WORDS
+from toxiscope.functions.stopwords import english_stop_words
 
 # The whitespace set of the tokenizer (Java's \s): space, tab,
 # newline, vertical tab, form feed, carriage return.
@@ -21,7 +21,7 @@ NOT_WS = r"[^ \t\n\x0B\f\r]"
 # Fixed values for our cleaning rule (see clean_text).
 URL_PATTERN = r"(https?://|www\.)" + NOT_WS + "*"
 MENTION_PATTERN = r"@[a-z0-9_]+"
-NON_LETTER_PATTERN = r"[^\p{L}']+"
+NON_LETTER_PATTERN = r"[^\p{L}\p{M}']+"
 RETWEET_PATTERN = r" (rt )+"
 
 
@@ -32,8 +32,8 @@ def _col(c: str | Column) -> Column:
 def clean_text(text: str | Column) -> Column:
     """Our definition of ``clean_comment`` (the reference names it but never ships it).
 
-    lower-case → drop URLs → drop @mentions → every run of non-letters (apostrophe
-    kept) becomes one space → drop retweet markers ``rt`` → trim. Null stays null.
+    lower-case → drop URLs → drop @mentions → every run of other than letters, their
+    combining marks and apostrophes becomes one space → drop retweet markers ``rt`` → trim. Null stays null.
     """
     x = F.lower(_col(text))
     x = F.regexp_replace(x, URL_PATTERN, " ")
@@ -61,7 +61,7 @@ def tokenize(text: str | Column) -> Column:
 
 def remove_stop_words(tokens: str | Column, stop_words: list[str] | None = None) -> Column:
     """Column form of ``StopWordsRemover`` (case-insensitive): keeps order and duplicates."""
-    words = ENGLISH_STOP_WORDS if stop_words is None else stop_words
+    words = english_stop_words() if stop_words is None else stop_words
     stop = F.array(*[F.lit(w.lower()) for w in words])
     return F.filter(_col(tokens), lambda t: ~F.array_contains(stop, F.lower(t)))
 

@@ -21,8 +21,8 @@ METHODS = ("weight", "oversample", "undersample")
 
 
 def weight_expr(label: str, ratio: float):
-    """B1 rule: label 1 → r, anything else → 1 − r, with r = (N − pos) / N."""
-    return F.when(F.col(label) == 1, F.lit(ratio)).otherwise(F.lit(1.0 - ratio))
+    """B1 rule: label 1 → r, label 0 → 1 − r, with r = (N − pos) / N; a null label has no weight."""
+    return F.when(F.col(label) == 1, F.lit(ratio)).when(F.col(label).isNotNull(), F.lit(1.0 - ratio))
 
 
 def class_weights(
@@ -72,7 +72,7 @@ def oversample(
     n, pos = counts if counts is not None else balancing_ratio(df, label)[:2]
     copies = oversample_copies_expr(label, key, pos, n - pos, seed)
     dup = df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    return dup.repartition(max(1, df.rdd.getNumPartitions()), key, "copy")
+    return dup.repartition(key, "copy")  # the session's shuffle partitions; plans nothing yet
 
 
 def undersample(df: DataFrame, label: str, key: str, seed: int = SAMPLE_SEED) -> DataFrame:

@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -21,10 +21,12 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toxiscope.functions.stopwords import ENGLISH_STOP_WORDS
+from toxiscope.functions.stopwords import english_stop_words
 from toxiscope.functions.text import remove_stop_words, tokenize
 from toxiscope.operators.ranking import global_index
+from toxiscope.operators.term_join import join_terms, table_bytes
 from toxiscope.schema import TEXT_COL
+from toxiscope.session import cut_lineage
 
 DEFAULT_NUM_FEATURES = 1 << 18  # HashingTF default (262,144 buckets)
 
@@ -37,15 +39,23 @@ W2V_STEP_SIZE = 0.025
 W2V_MAX_SENTENCE_LENGTH = 1000
 W2V_SEED = -1961189076
 
+# Training partitions of Word2Vec. The vectors depend on it (each partition trains its own
+# copy, and the copies are averaged), so it is a fixed parameter and follows neither the
+# cores nor the rows. The saved stage used 1, which puts all training in one task.
+W2V_PARTITIONS = 8
+
+# Exact vocabularies hold every term unless a caller asks for the top N.
+UNCAPPED = (1 << 31) - 1
+
 
 def text_stages(
     kind: str = "hashing",
     input_col: str = TEXT_COL,
     features_col: str = "features",
     num_features: int = DEFAULT_NUM_FEATURES,
-    vocab_size: int = 1 << 18,
+    vocab_size: int = UNCAPPED,
     min_df: float = 1.0,
-    w2v_partitions: int | None = None,
+    w2v_partitions: int = W2V_PARTITIONS,
     w2v_vector_size: int = W2V_VECTOR_SIZE,
     w2v_min_count: int = W2V_MIN_COUNT,
     seed: int = W2V_SEED,
@@ -54,13 +64,11 @@ def text_stages(
 
     ``kind``: ``hashing`` (raw hashed term counts, the reference's default),
     ``counts`` (exact vocabulary), ``tfidf`` (hashed counts × IDF), ``word2vec``
-    (document = mean of word vectors). Word2Vec trains on ``w2v_partitions``
-    partitions; the saved stage used 1, which puts all training in one task, so the
-    default here follows the data's partitioning instead.
+    (document = mean of word vectors, trained on ``w2v_partitions`` partitions).
     """
     tok = Tokenizer(inputCol=input_col, outputCol="words")
     stop = StopWordsRemover(
-        inputCol="words", outputCol="stopWordFilter", stopWords=list(ENGLISH_STOP_WORDS), caseSensitive=False
+        inputCol="words", outputCol="stopWordFilter", stopWords=list(english_stop_words()), caseSensitive=False
     )
     if kind == "hashing":
         last = [HashingTF(inputCol="stopWordFilter", outputCol=features_col, numFeatures=num_features)]
@@ -70,8 +78,10 @@ def text_stages(
         ]
     elif kind == "tfidf":
         last = [
-            HashingTF(inputCol="stopWordFilter", outputCol="tf", numFeatures=num_features),
-            IDF(inputCol="tf", outputCol=features_col),
+            Pipeline(stages=[
+                HashingTF(inputCol="stopWordFilter", outputCol="tf", numFeatures=num_features),
+                IDF(inputCol="tf", outputCol=features_col),
+            ])
         ]
     elif kind == "word2vec":
         w2v = Word2Vec(
@@ -85,26 +95,38 @@ def text_stages(
             maxSentenceLength=W2V_MAX_SENTENCE_LENGTH,
             seed=seed,
         )
-        if w2v_partitions:
-            w2v.setNumPartitions(int(w2v_partitions))
+        w2v.setNumPartitions(int(w2v_partitions))
         last = [w2v]
     else:
         raise ValueError(f"unknown feature kind {kind!r}")
     return Pipeline(stages=[tok, stop, *last])
 
 
-W2V_DOCS_PER_PARTITION = 1000
-
+def fit_stages(
+    pipeline: Pipeline, df: DataFrame, keep: list[str], with_tokens: bool = False
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit the chain and return it with the transformed ``keep`` columns (and tokens) and
+    features.
 
-def word2vec_partitions(df: DataFrame, docs_per_partition: int = W2V_DOCS_PER_PARTITION) -> int:
-    """Training partitions for Word2Vec: about ``docs_per_partition`` documents each,
-    at most the cluster's default parallelism (the saved stage used 1, which puts all
-    training in one task; too many partitions average away the per-partition updates)."""
-    import math
-
-    n = df.count()
-    cap = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(cap, math.ceil(n / docs_per_partition)))
+    The token columns are written once; a featurizer that passes over its input several
+    times (vocabulary, IDF, Word2Vec) reads them instead of the text. Null text is empty.
+    """
+    *prepare, featurizer = pipeline.getStages()
+    text = prepare[0].getInputCol()
+    now = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(text))
+    for stage in prepare:
+        now = stage.transform(now)
+    tokens = cut_lineage(now.select(*keep, prepare[-1].getOutputCol()))
+    fitted = featurizer.fit(tokens) if hasattr(featurizer, "fit") else featurizer
+    if isinstance(featurizer, Pipeline):  # a featurizer of two steps
+        fitted = fitted.stages
+    else:
+        fitted = [fitted]
+    out = tokens
+    for stage in fitted:
+        out = stage.transform(out)
+    extra = [prepare[-1].getOutputCol()] if with_tokens else []
+    return PipelineModel([*prepare, *fitted]), out.select(*keep, *extra, fitted[-1].getOutputCol())
 
 
 def with_tokens(df: DataFrame, text_col: str = TEXT_COL, out_col: str = "tokens") -> DataFrame:
@@ -127,7 +149,7 @@ def explode_terms(
     relational paths filter after the explode. From a ready token array: explode it.
     """
     if text_col is not None:
-        words = ENGLISH_STOP_WORDS if stop_words is None else stop_words
+        words = english_stop_words() if stop_words is None else stop_words
         exploded = df.select(*keep_cols, F.explode(tokenize(text_col)).alias("term"))
         return exploded.where(~F.lower(F.col("term")).isin([w.lower() for w in words]))
     if tokens_col is None:
@@ -165,12 +187,13 @@ def vocabulary(
 def tfidf(counts: DataFrame, n_docs: int, key: str) -> DataFrame:
     """``key, term, tf, idf, tfidf`` with idf = ln((N + 1) / (df + 1)) (Spark's IDF).
 
-    Document frequencies are aggregated per term and joined back on ``term``; AQE
-    broadcasts the per-term table when it is small and splits hot-term partitions
-    when it is not.
+    The counts are written once, so the text is read and tokenized once for both uses; the
+    document frequencies meet them as in :func:`join_terms`.
     """
-    df_t = counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    counts = cut_lineage(counts)
+    df_t = cut_lineage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")))
+    total = df_t.agg(F.coalesce(F.sum("doc_freq"), F.lit(0))).first()[0]
     idf = F.log(F.lit(float(n_docs + 1)) / (F.col("doc_freq") + F.lit(1.0)))
-    return counts.join(df_t, "term").select(
+    return join_terms(counts, df_t, table_bytes(df_t, 1), "doc_freq", total).select(
         key, "term", "tf", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf")
     )

@@ -15,6 +15,9 @@ shuffle. Over-sampling is a weight (number of copies) and under-sampling a 0/1
 weight: the sums are identical to fitting on the duplicated or filtered rows.
 The per-run scalars (W_c, S_c, V: a few numbers per run) are the only values that
 reach the driver; the term table is written to the shared checkpoint folder.
+
+A row whose label is null in one run takes no part in that run and in no other way: the
+other runs count it, and a run's vocabulary holds the terms of its own rows.
 """
 
 from __future__ import annotations
@@ -28,11 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toxiscope.operators.features import explode_terms
-from toxiscope.session import broadcast_if_small, cut_lineage
+from toxiscope.operators.term_join import BROADCAST_MAX_BYTES, join_terms
+from toxiscope.session import cut_lineage
 
 CLASSES = (0, 1)
-# Largest vocabulary broadcast to the scoring tasks (rows of term + 2 doubles per run).
-BROADCAST_MAX_TERMS = 1_000_000
 
 
 @dataclass
@@ -49,8 +51,15 @@ class NBModel:
     terms: DataFrame
     runs: list[str]
     log_prior: dict[str, dict[int, float]]
-    vocab_size: int
+    vocab_sizes: dict[str, int]
     smoothing: float
+    size: int  # bytes of the term table
+    occurrences: float
+
+    @property
+    def vocab_size(self) -> int:
+        """Terms of the largest run."""
+        return max(self.vocab_sizes.values())
 
 
 def _s(c: int, run: str) -> str:
@@ -84,7 +93,7 @@ def nb_fit(
         src.alias("_src"),
         *[F.col(r.label_col).cast("int").alias(f"y_{r.name}") for r in runs],
         *[r.weight.cast("double").alias(f"w_{r.name}") for r in runs],
-    ).where(reduce(lambda a, b: a & b, [F.col(f"y_{r.name}").isNotNull() for r in runs]))
+    ).where(reduce(lambda a, b: a | b, [F.col(f"y_{r.name}").isNotNull() for r in runs]))
 
     # W_c per run: one global aggregate over document rows.
     prior_aggs = [
@@ -104,14 +113,23 @@ def nb_fit(
         for r in runs
         for c in CLASSES
     ]
-    terms = exploded.groupBy("term").agg(*sums)
+    # occurrences in a run's own rows: runs of one label column share them
+    of_label = {r.name: f"n_{runs[[x.label_col for x in runs].index(r.label_col)].name}" for r in runs}
+    used = [
+        F.sum(F.col(f"y_{n[2:]}").isNotNull().cast("long")).alias(n) for n in dict.fromkeys(of_label.values())
+    ]
+    terms = exploded.groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"), *used, *sums)
     terms = cut_lineage(terms) if checkpoint else terms.persist()
 
     tot = terms.agg(
-        F.count(F.lit(1)).alias("V"), *[F.sum(_s(c, r.name)).alias(_s(c, r.name)) for r in runs for c in CLASSES]
+        F.coalesce(F.sum("occurrences"), F.lit(0)).alias("occurrences"),
+        F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("chars"),
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum((F.col(n) > 0).cast("long")).alias(n) for n in dict.fromkeys(of_label.values())],
+        *[F.sum(_s(c, r.name)).alias(_s(c, r.name)) for r in runs for c in CLASSES],
     ).first()
-    vocab = int(tot["V"])
-    if vocab == 0:
+    vocab = {r.name: int(tot[of_label[r.name]] or 0) for r in runs}
+    if not all(vocab.values()):
         raise ValueError("the training rows hold no terms: the vocabulary is empty")
 
     log_prior: dict[str, dict[int, float]] = {}
@@ -122,18 +140,16 @@ def nb_fit(
         log_prior[r.name] = {c: math.log(w[c] + smoothing) - denom for c in CLASSES}
         for c in CLASSES:
             s_c = float(tot[_s(c, r.name)] or 0.0)
-            lt_cols.append(
-                (F.log(F.col(_s(c, r.name)) + F.lit(smoothing)) - F.lit(math.log(s_c + vocab * smoothing))).alias(
-                    _lt(c, r.name)
-                )
-            )
-    model_terms = terms.select("term", *lt_cols)
-    return NBModel(model_terms, names, log_prior, vocab, smoothing)
+            theta = F.log(F.col(_s(c, r.name)) + F.lit(smoothing)) - F.lit(math.log(s_c + vocab[r.name] * smoothing))
+            lt_cols.append(F.when(F.col(of_label[r.name]) > 0, theta).alias(_lt(c, r.name)))
+    model_terms = terms.select("term", "occurrences", *lt_cols)
+    size = int(tot["chars"]) + int(tot["rows"]) * (8 * (1 + len(lt_cols)) + 32)
+    return NBModel(model_terms, names, log_prior, vocab, smoothing, size, float(tot["occurrences"]))
 
 
 def nb_log_theta(model: NBModel, run: str) -> DataFrame:
     """``term, log_theta0, log_theta1`` of one run (one row per vocabulary term)."""
-    return model.terms.select(
+    return model.terms.where(F.col(_lt(0, run)).isNotNull()).select(
         "term", F.col(_lt(0, run)).alias("log_theta0"), F.col(_lt(1, run)).alias("log_theta1")
     )
 
@@ -145,24 +161,23 @@ def nb_predict(
     tokens_col: str = "tokens",
     keep_cols: list[str] | None = None,
     text_col: str | None = None,
-    broadcast_max_terms: int = BROADCAST_MAX_TERMS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Scores of every run for every row of ``df``.
 
     Output: ``key, keep_cols…, run, score0, score1, margin, probability, prediction``.
-    Only ``(key, term)`` rows meet the term table. When the vocabulary has at most
-    ``broadcast_max_terms`` rows (checked on the materialized table) it is broadcast:
-    the token stream is then never shuffled and the per-key sums reuse the input's
-    partitioning. Beyond the bound it is a shuffle join on ``term`` whose hot-term
-    partitions AQE splits. The per-key sums are left-joined back to the rows on the
-    unique ``key``, so a row without any vocabulary term keeps its prior and no null
-    join key piles up in one partition.
+    Tokens are first counted per ``(key, term)``, so a repeated token meets the term table
+    once. A table within ``broadcast_max_bytes`` (measured when it was fitted) is broadcast
+    and nothing is shuffled on ``term``; beyond it see :func:`join_terms`. The per-key sums
+    are left-joined back to the rows on the unique ``key``, so a row without any vocabulary
+    term keeps its prior and no null join key piles up in one partition.
     """
     keep_cols = list(keep_cols or [])
     terms = explode_terms(df, [key], text_col=text_col, tokens_col=None if text_col else tokens_col)
-    sums = [F.sum(F.col(_lt(c, r))).alias(f"d{c}_{r}") for r in model.runs for c in CLASSES]
-    vocab = broadcast_if_small(model.terms, broadcast_max_terms)
-    per_key = terms.join(vocab, "term").groupBy(key).agg(*sums)
+    counted = terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+    sums = [F.sum(F.col("_tf") * F.col(_lt(c, r))).alias(f"d{c}_{r}") for r in model.runs for c in CLASSES]
+    met = join_terms(counted, model.terms, model.size, "occurrences", model.occurrences, broadcast_max_bytes)
+    per_key = met.groupBy(key).agg(*sums)
     per_doc = df.select(key, *keep_cols).join(per_key, key, "left")
     parts = []
     for r in model.runs:

@@ -8,29 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _stack(pairs: list[tuple[str, str]], names: str) -> F.Column:
-    """``stack`` of (literal name, column expr) pairs into rows."""
-    parts = ", ".join(f"'{name}', {expr}" for name, expr in pairs)
-    return F.expr(f"stack({len(pairs)}, {parts}) as ({names})")
-
-
 def label_counts(df: DataFrame, labels: list[str]) -> DataFrame:
     """A1: ``label, positives, total`` for every label from a single aggregate job."""
     aggs = [F.sum((F.col(l) == 1).cast("long")).alias(f"pos_{l}") for l in labels]
-    wide = df.agg(F.count(F.lit(1)).alias("total"), *aggs)
-    return wide.select(
-        _stack([(l, f"pos_{l}") for l in labels], "label, positives"), F.col("total")
-    ).select("label", F.coalesce("positives", F.lit(0)).alias("positives"), "total")
+    totals = [F.count(l).alias(f"n_{l}") for l in labels]  # rows whose label is known
+    wide = df.agg(*totals, *aggs)
+    parts = ", ".join(f"'{l}', pos_{l}, n_{l}" for l in labels)
+    long = wide.select(F.expr(f"stack({len(labels)}, {parts}) as (label, positives, total)"))
+    return long.select("label", F.coalesce("positives", F.lit(0)).alias("positives"), "total")
 
 
 def balancing_ratio(df: DataFrame, label: str) -> tuple[int, int, float]:
     """A2: ``(total, positives, (total - positives) / total)`` as driver scalars.
 
-    Two numbers from one aggregate; the reference raises nothing on an empty frame
-    (NaN) — we refuse it.
+    Two numbers from one aggregate over the rows whose label is known. The reference
+    raises nothing on an empty frame (NaN) — we refuse it.
     """
     row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == 1).cast("long")).alias("pos")
+        F.count(label).alias("n"), F.sum((F.col(label) == 1).cast("long")).alias("pos")
     ).first()
     n, pos = int(row["n"]), int(row["pos"] or 0)
     if n == 0:

@@ -18,11 +18,14 @@ def score_labels(features: DataFrame, models: dict, key: str, features_col: str
     Every model writes its own prediction / probability / raw columns, so the
     features are computed once per row and no result goes through the driver.
     Output: ``key, label, prediction int, probability double`` (NULL for models
-    without probabilities, e.g. LinearSVC).
+    without probabilities, e.g. LinearSVC; both are NULL for a label without a model).
     """
     df = features
     names = list(models)
     for i, label in enumerate(names):
+        if models[label] is None:
+            df = df.withColumn(f"_pred{i}", F.lit(None).cast("double"))
+            continue
         m = models[label].copy()
         m.setFeaturesCol(features_col)
         m.setPredictionCol(f"_pred{i}")

@@ -13,20 +13,21 @@ from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.functions.stopwords import ENGLISH_STOP_WORDS
+from toxiscope.functions.stopwords import english_stop_words
 from toxiscope.functions.text import tokens_digest
 from toxiscope.operators import balance, evaluate, features, profile
 from toxiscope.operators.naive_bayes import NBRun, nb_fit, nb_log_theta, nb_predict
 from toxiscope.operators.split import hash_split
+from toxiscope.operators.tuning import LR_FOLDS, SVM_FOLDS, grid_points, with_folds
 from toxiscope.plans import nb_comparison
 from toxiscope.plans.prepared import (
     cleaned_documents,
-    labelled_tokens,
+    labelled_documents,
     split_parts,
 )
 from toxiscope.schema import DRIVER_LABELS, TEXT_COL
 from toxiscope.session import spread
-from toxiscope.sources.readers import load_table, training_frame
+from toxiscope.sources.readers import label_frame, load_table, training_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 MAIN_LABEL = "toxic"
@@ -57,7 +58,7 @@ def q_tokenize(spark: SparkSession, d: str) -> DataFrame:
 
 def q_stopwords(spark: SparkSession, d: str) -> DataFrame:
     remover = StopWordsRemover(
-        inputCol="words", outputCol="kept", stopWords=list(ENGLISH_STOP_WORDS), caseSensitive=False
+        inputCol="words", outputCol="kept", stopWords=list(english_stop_words()), caseSensitive=False
     )
     t = remover.transform(_raw_tokens(spark, d))
     return t.select("doc_id", F.size("kept").cast("long").alias("n_kept"), tokens_digest("kept").alias("kept_md5"))
@@ -90,7 +91,7 @@ def q_hashing_tf(spark: SparkSession, d: str) -> DataFrame:
 
 # --- A3 A4 A5 -------------------------------------------------------------------------------------
 def _labels_frame(spark: SparkSession, d: str) -> DataFrame:
-    return training_frame(spark, d).select("doc_id", *DRIVER_LABELS)
+    return label_frame(spark, d)
 
 
 def q_label_distribution(spark: SparkSession, d: str) -> DataFrame:
@@ -110,6 +111,19 @@ def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
     return hash_split(_labels_frame(spark, d), "doc_id").select("doc_id", "split_u", "is_test")
 
 
+def q_fold_assignment(spark: SparkSession, d: str) -> DataFrame:
+    """M6: the five folds of the training rows, positives dealt in turn."""
+    return with_folds(_train_labels(spark, d), "doc_id", LR_FOLDS, MAIN_LABEL).select("doc_id", MAIN_LABEL, "fold")
+
+
+def q_grid_points(spark: SparkSession, d: str) -> DataFrame:
+    """M5: the tuning grids, with the rows each point is fitted on (folds x training rows)."""
+    points = spark.createDataFrame(grid_points(), "model string, reg_param double, elastic_net_param double")
+    n = _train_labels(spark, d).agg(F.count(MAIN_LABEL).alias("train_rows"))
+    folds = F.when(F.col("model") == "lr", LR_FOLDS).otherwise(SVM_FOLDS)
+    return points.join(F.broadcast(n)).withColumn("folds", folds.cast("int"))  # n is one row
+
+
 def _train_labels(spark: SparkSession, d: str) -> DataFrame:
     marked = hash_split(_labels_frame(spark, d), "doc_id")
     return marked.where(~F.col("is_test")).select("doc_id", MAIN_LABEL)
@@ -131,7 +145,7 @@ def q_undersample(spark: SparkSession, d: str) -> DataFrame:
 
 # --- M1 twin + A6–A13 -----------------------------------------------------------------------------
 def _weighted_nb(spark: SparkSession, d: str):
-    train, test = split_parts(labelled_tokens(spark, d))
+    train, test = split_parts(labelled_documents(spark, d))
     n, pos, ratio = profile.balancing_ratio(train, MAIN_LABEL)
     run = NBRun("m", MAIN_LABEL, balance.weight_expr(MAIN_LABEL, ratio))
     model = nb_fit(train, [run], text_col=TEXT_COL)
@@ -176,13 +190,13 @@ def q_weighted_f1(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_best_model(spark: SparkSession, d: str) -> DataFrame:
-    train, test = split_parts(labelled_tokens(spark, d))
+    train, test = split_parts(labelled_documents(spark, d))
     return nb_comparison.best_model(train, test, DRIVER_LABELS)
 
 
 def q_method_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Metrics of every label × method run (long form), the table behind the ranking."""
-    train, test = split_parts(labelled_tokens(spark, d))
+    train, test = split_parts(labelled_documents(spark, d))
     model = nb_comparison.fit_runs(train, DRIVER_LABELS, list(balance.METHODS))
     preds = nb_comparison.predict_runs(model, test, DRIVER_LABELS)
     return nb_comparison.long_metrics(preds).select(
@@ -203,6 +217,8 @@ SQL_CHECKED: dict[str, Query] = {
     "tagged_share": q_tagged_share,
     "label_correlation": q_label_correlation,
     "hash_split": q_hash_split,
+    "grid_points": q_grid_points,
+    "fold_assignment": q_fold_assignment,
     "class_weights": q_class_weights,
     "oversample": q_oversample,
     "undersample": q_undersample,

@@ -7,18 +7,51 @@ a mismatch points at a real semantic difference.
 
 from __future__ import annotations
 
-from toxiscope.functions.hashing import unit_hash_sql
-from toxiscope.functions.stopwords import sql_list_literal
-from toxiscope.functions.text import MENTION_PATTERN, NON_LETTER_PATTERN, RETWEET_PATTERN, URL_PATTERN, WS
-from toxiscope.operators.balance import SAMPLE_SEED
-from toxiscope.operators.split import SPLIT_SEED, TEST_FRACTION
-
-STOP = sql_list_literal()
+# The English stop-word list of the saved stage, in its order.
+STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your",
+    "yours", "yourself", "yourselves", "he", "him", "his", "himself", "she", "her", "hers",
+    "herself", "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what",
+    "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "having", "do",
+    "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or",
+    "because", "as", "until", "while", "of", "at", "by", "for", "with", "about",
+    "against", "between", "into", "through", "during", "before", "after", "above", "below", "to",
+    "from", "up", "down", "in", "out", "on", "off", "over", "under", "again",
+    "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
+    "any", "both", "each", "few", "more", "most", "other", "some", "such", "no",
+    "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s",
+    "t", "can", "will", "just", "don", "should", "now", "i'll", "you'll", "he'll",
+    "she'll", "we'll", "they'll", "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm",
+    "you're", "he's", "she's", "it's", "we're", "they're", "i've", "we've", "you've", "they've",
+    "isn't", "aren't", "wasn't", "weren't", "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't",
+    "won't", "wouldn't", "shan't", "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's",
+    "how's", "let's", "ought", "that's", "there's", "what's", "when's", "where's", "who's", "why's",
+    "would",
+]
+STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + "]"
+
+# The cleaning and tokenizing rules, the split and the sampling seed, stated
+# here on their own, so that a slip in the library's patterns shows as a difference.
+WS = r"[ \t\n\x0B\f\r]"
+URL_PATTERN = r"(https?://|www\.)[^ \t\n\x0B\f\r]*"
+MENTION_PATTERN = r"@[a-z0-9_]+"
+NON_LETTER_PATTERN = r"[^\p{L}\p{M}']+"
+RETWEET_PATTERN = r" (rt )+"
+SPLIT_SEED = 42
+TEST_FRACTION = 0.2
+SAMPLE_SEED = 2024
+FOLD_SEED = 7
 LABEL = "toxic"
 LABELS = ["toxic", "low_quality"]
 METHODS = ["weight", "oversample", "undersample"]
 
 
+def unit_hash_sql(key: str, seed: int) -> str:
+    """First 32 bits of md5(key ':' seed) as a number in [0, 1)."""
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT / 4294967296.0)"
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -51,12 +84,17 @@ def digest_sql(tokens: str) -> str:
 
 U_SPLIT = unit_hash_sql("doc_id", SPLIT_SEED)
 U_SAMPLE = unit_hash_sql("doc_id", SAMPLE_SEED)
+U_FOLD = unit_hash_sql("doc_id", FOLD_SEED)
 
 TRAINING_FRAME = f"""
 SELECT d.doc_id, {clean_sql('d.text')} AS clean_comment,
        CAST(l.toxic AS INTEGER) AS toxic, CAST(1 - l.quality AS INTEGER) AS low_quality
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
-WHERE l.toxic IS NOT NULL AND l.quality IS NOT NULL
+WHERE l.toxic IS NOT NULL OR l.quality IS NOT NULL
+"""
+
+LABEL_FRAME = """
+SELECT doc_id, CAST(toxic AS INTEGER) AS toxic, CAST(1 - quality AS INTEGER) AS low_quality FROM labels
 """
 
 DOC_TOKENS = f"""
@@ -95,7 +133,8 @@ def _nb_sql(runs: list[tuple[str, str]]) -> str:
     """CTEs up to per-run test predictions ``pred(label_name, method, doc_id, label, prediction, margin)``."""
     weighted = " UNION ALL ".join(
         f"SELECT '{lab}' AS label_name, '{m}' AS method, doc_id, {lab} AS y, tokens, "
-        f"{_weight_sql(m, lab)} AS w FROM train, (SELECT count(*) AS n, sum({lab}) AS pos FROM train)"
+        f"{_weight_sql(m, lab)} AS w FROM train, (SELECT count({lab}) AS n, sum({lab}) AS pos FROM train) "
+        f"WHERE {lab} IS NOT NULL"
         for lab, m in runs
     )
     test_rows = " UNION ALL ".join(
@@ -174,10 +213,27 @@ MAIN_RUN = [(LABEL, "weight")]
 ALL_RUNS = [(lab, m) for lab in LABELS for m in METHODS]
 
 
+def _score_multilabel_sql() -> str:
+    """The NB of both labels, applied to the conversation turns."""
+    messages = " UNION ALL ".join(
+        f"SELECT '{lab}' AS label_name, message_id, tokens FROM msg" for lab in LABELS
+    )
+    return _nb_sql([(lab, "weight") for lab in LABELS]) + f""",
+      msg AS (SELECT conv_id || ':' || turn AS message_id, {stop_sql(tokenize_sql(clean_sql('text')))} AS tokens FROM conversations),
+      mt AS (SELECT label_name, message_id,
+                    unnest(CASE WHEN len(tokens) = 0 THEN [NULL]::VARCHAR[] ELSE tokens END) AS term FROM ({messages})),
+      ms AS (SELECT mt.label_name, message_id, sum(coalesce(lt0, 0)) AS d0, sum(coalesce(lt1, 0)) AS d1
+             FROM mt LEFT JOIN lt ON mt.label_name = lt.label_name AND mt.term = lt.term GROUP BY mt.label_name, message_id),
+      mm AS (SELECT ms.label_name, message_id, (d1 + lp1) - (d0 + lp0) AS margin
+             FROM ms JOIN pri ON ms.label_name = pri.label_name)
+    SELECT message_id, label_name AS label, CASE WHEN margin > 0 THEN 1 ELSE 0 END AS prediction,
+           round(1 / (1 + exp(-margin)), 4) AS probability FROM mm"""
+
+
 def oracle_queries() -> dict[str, str]:
     nb1 = _nb_sql(MAIN_RUN)
     nb_all = _nb_sql(ALL_RUNS)
-    train_labels = f"SELECT doc_id, {LABEL} FROM ({TRAINING_FRAME}) WHERE {U_SPLIT} >= {TEST_FRACTION}"
+    train_labels = f"SELECT doc_id, {LABEL} FROM ({LABEL_FRAME}) WHERE {U_SPLIT} >= {TEST_FRACTION}"
     counts = f"(SELECT count(*) AS n, sum({LABEL}) AS pos FROM tl)"
     q = {
         "training_frame": TRAINING_FRAME,
@@ -203,21 +259,32 @@ def oracle_queries() -> dict[str, str]:
                             round(tc.tf * ln((nd.n + 1)::DOUBLE / (dfq.doc_freq + 1)), 6) AS tfidf
                      FROM tc JOIN dfq ON tc.term = dfq.term, nd""",
         "hashing_tf": f"SELECT doc_id, len(tokens)::BIGINT AS tf_sum FROM ({DOC_TOKENS})",
-        "label_distribution": f"""{_ctes(tf=TRAINING_FRAME)}
+        "label_distribution": f"""{_ctes(tf=LABEL_FRAME)}
             SELECT label, positives, total, round(positives::DOUBLE / total, 6) AS share,
                    floor(positives::DOUBLE / total * 1000) / 10 AS pct_truncated
             FROM (SELECT 'toxic' AS label, sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END)::BIGINT AS positives,
-                         count(*)::BIGINT AS total FROM tf
+                         count(toxic)::BIGINT AS total FROM tf
                   UNION ALL
-                  SELECT 'low_quality', sum(CASE WHEN low_quality = 1 THEN 1 ELSE 0 END)::BIGINT, count(*)::BIGINT FROM tf)""",
+                  SELECT 'low_quality', sum(CASE WHEN low_quality = 1 THEN 1 ELSE 0 END)::BIGINT, count(low_quality)::BIGINT FROM tf)""",
         "tagged_share": f"""SELECT tagged, total, round(tagged::DOUBLE / total, 6) AS share
             FROM (SELECT sum(CASE WHEN greatest(toxic, low_quality) = 1 THEN 1 ELSE 0 END)::BIGINT AS tagged,
-                         count(*)::BIGINT AS total FROM ({TRAINING_FRAME}))""",
+                         count(*)::BIGINT AS total FROM ({LABEL_FRAME}))""",
         "label_correlation": f"""SELECT 'toxic' AS label_a, 'low_quality' AS label_b,
                    CASE WHEN isnan(c) THEN NULL ELSE round(c, 6) END AS corr
-            FROM (SELECT corr(toxic::DOUBLE, low_quality::DOUBLE) AS c FROM ({TRAINING_FRAME}))""",
+            FROM (SELECT corr(toxic::DOUBLE, low_quality::DOUBLE) AS c FROM ({LABEL_FRAME}))""",
         "hash_split": f"""SELECT doc_id, {U_SPLIT} AS split_u, {U_SPLIT} < {TEST_FRACTION} AS is_test
-                          FROM ({TRAINING_FRAME})""",
+                          FROM ({LABEL_FRAME})""",
+        "grid_points": f"""
+            SELECT m.model, r.reg_param, e.elastic_net_param, (SELECT count({LABEL}) FROM ({train_labels})) AS train_rows,
+                   CAST(CASE WHEN m.model = 'lr' THEN 5 ELSE 3 END AS INTEGER) AS folds
+            FROM (VALUES ('lr'), ('svm')) m(model), (VALUES (0.0001::DOUBLE), (0.001), (0.1)) r(reg_param),
+                 (VALUES (0.0::DOUBLE), (0.5), (1.0), (NULL)) e(elastic_net_param)
+            WHERE (m.model = 'lr') = (e.elastic_net_param IS NOT NULL)""",
+        "fold_assignment": f"""
+            SELECT doc_id, {LABEL}, CAST(CASE WHEN {LABEL} = 1
+                THEN (row_number() OVER (PARTITION BY {LABEL} ORDER BY {U_FOLD}, doc_id) - 1) % 5
+                ELSE floor({U_FOLD} * 5) END AS INTEGER) AS fold
+            FROM ({train_labels})""",
         "class_weights": f"""{_ctes(tl=train_labels)}
             SELECT doc_id, {LABEL}, round({_weight_sql('weight', LABEL)}, 9) AS classWeightCol FROM tl, {counts}""",
         "oversample": f"""{_ctes(tl=train_labels)}
@@ -244,4 +311,20 @@ def oracle_queries() -> dict[str, str]:
                      row_number() OVER (PARTITION BY label_name ORDER BY round(f1_1, 6) DESC NULLS LAST, method) AS rk
               FROM wide) WHERE rk = 1""",
     }
+    test_rows = f"FROM ({LABELLED}) WHERE u < {TEST_FRACTION} AND {LABEL} IS NOT NULL"
+    q |= {
+        "metrics_text": f"""{nb1}, m AS ({_long_metrics_sql('wide')}),
+              t AS (SELECT class, metric, coalesce(printf('%.6f', value), 'NaN') AS v FROM m)
+            SELECT '{LABEL}' AS label, metric, string_agg(v, ' | ' ORDER BY class) AS text FROM t GROUP BY metric""",
+        # identity checks: the rows in SQL, and that every row's check holds
+        "lr_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
+        "svm_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
+        "mlp_word2vec": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
+        "mlp_embeddings": f"""SELECT vec_id, CAST(label AS INTEGER) AS label, TRUE AS consistent
+            FROM embeddings WHERE {unit_hash_sql('vec_id', SPLIT_SEED)} < {TEST_FRACTION}""",
+        "word2vec_docs": "SELECT doc_id, 100::BIGINT AS dims, 0.0::DOUBLE AS difference FROM documents",
+        "stream_score": f"""SELECT l.label, count(*) AS rows, count(*) AS equal_to_batch
+            FROM documents, (VALUES ('toxic'), ('low_quality')) l(label) GROUP BY l.label""",
+        "score_multilabel": _score_multilabel_sql(),
+    }
     return q

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toxiscope.functions.text import clean_text
-from toxiscope.operators.features import with_tokens
 from toxiscope.operators.split import SPLIT_SEED, TEST_FRACTION, hash_split
 from toxiscope.schema import TEXT_COL
 from toxiscope.session import spread
@@ -19,17 +18,11 @@ def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", clean_text("text").alias(TEXT_COL))
 
 
-def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, tokens``: cleaned, tokenized, stop words removed."""
-    return with_tokens(cleaned_documents(spark, sf_dir)).select("doc_id", "tokens")
-
-
-def labelled_tokens(
+def labelled_documents(
     spark: SparkSession, sf_dir: str, seed: int = SPLIT_SEED, test_fraction: float = TEST_FRACTION
 ) -> DataFrame:
-    """Training frame + ``tokens`` + ``is_test`` (hash split on ``doc_id``)."""
-    tf = with_tokens(training_frame(spark, sf_dir))
-    return hash_split(tf, "doc_id", seed, test_fraction).drop("split_u")
+    """Training frame + ``is_test`` (hash split on ``doc_id``)."""
+    return hash_split(training_frame(spark, sf_dir), "doc_id", seed, test_fraction).drop("split_u")
 
 
 def split_parts(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,4 +1,4 @@
-"""Session-level helpers: the shared checkpoint folder and size-checked broadcast.
+"""Session-level helpers: the shared checkpoint folder and the spreading of small scans.
 
 The library never builds a session and never picks a master. It reads
 ``spark.checkpoint.dir`` from the running session; only a local session (tests,
@@ -10,7 +10,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -37,6 +36,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of written intermediate results."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
     import uuid
@@ -51,17 +61,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned as is and the join is left to a shuffle (AQE may still demote it to a
-    broadcast at run time from measured sizes, and splits skewed partitions).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition ``df`` by ``key`` when the scan gives fewer partitions than cores.
 
@@ -80,19 +79,3 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
     return df.repartition(max(1, n), key)
 
-
-ROWS_PER_PARTITION = 100_000
-
-
-def size_partitions(df: DataFrame, rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Narrow ``coalesce`` so a partition holds about ``rows_per_partition`` rows.
-
-    Iterative estimators run one job per gradient evaluation; on a small training
-    set the per-task overhead of many near-empty partitions dominates. Large inputs
-    keep their partitioning (the count only ever lowers the partition number).
-    """
-    import math
-
-    n = df.count() if rows is None else rows
-    want = max(1, math.ceil(n / rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df

@@ -16,27 +16,50 @@ from toxiscope.session import spread
 
 
 def read_comments(
-    spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = COMMENT_SCHEMA
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    schema: T.StructType = COMMENT_SCHEMA,
+    multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Labelled comments with a header row.
-
-    CSV is read with ``multiLine`` and ``"`` as escape so quoted comments may hold
-    commas, doubled quotes and newlines. Parquet keeps its own column types and is
-    only projected to the schema's columns (pruned at the scan).
+    """Labelled comments with a header row, columns found by their header names.
+
+    A missing column raises; other columns are dropped, whatever the order. ``"`` is the
+    escape, so quoted comments may hold commas, doubled quotes and, with ``multi_line``,
+    newlines. Multi-line CSV is read by one task per file; files without newlines inside
+    comments are split over many with ``multi_line=False``. A row with a wrong number of
+    fields stops the read; with ``mode="DROPMALFORMED"`` it is left out. A null comment is
+    the empty text; a label that is no integer is null (:func:`label_quality` counts them).
     """
     if fmt == "csv":
-        return (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("multiLine", True)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path)
+        reader = (
+            spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+            .option("mode", mode).option("enforceSchema", False)
         )
-    if fmt == "parquet":
+        df = reader.csv(path)  # header names, every field a string; no pass over the data
+    elif fmt == "parquet":
         df = spark.read.parquet(path)
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    raise ValueError(f"unsupported format {fmt!r}; use 'csv' or 'parquet'")
+    else:
+        raise ValueError(f"unsupported format {fmt!r}; use 'csv' or 'parquet'")
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}; its columns are {df.columns}")
+    cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*cols).fillna("", [c for c in (TEXT_COL,) if c in schema.names])
+
+
+def label_quality(df: DataFrame, labels: list[str], text_col: str = TEXT_COL) -> DataFrame:
+    """One row: ``rows``, ``empty_text``, and per label its null and its other-than-0/1 values.
+
+    Rows with a null label take no part in that label's training and metrics, and in no
+    other way; this counts them.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(F.trim(F.coalesce(text_col, F.lit(""))) == "").alias("empty_text")]
+    for label in labels:
+        aggs.append(F.count_if(F.col(label).isNull()).alias(f"null_{label}"))
+        aggs.append(F.count_if(~F.col(label).isin(0, 1)).alias(f"other_{label}"))
+    return df.agg(*aggs)
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -61,13 +84,14 @@ def training_frame(spark: SparkSession, sf_dir: str, clean: bool = True) -> Data
     """The labelled-comment frame built from the driver tables.
 
     ``documents ⋈ labels`` on ``doc_id`` → ``doc_id, clean_comment, toxic, low_quality``
-    (``low_quality = 1 - quality``). Rows with a null label are not training rows.
+    (``low_quality = 1 - quality``). A document without any known label is no training row;
+    one null label leaves the document to the other label.
     The join is left to the optimizer: ``labels`` is the small side and AQE turns
     the shuffle join into a broadcast from its measured size, not from a guess.
     """
     docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     labels = load_table(spark, sf_dir, "labels").where(
-        F.col("toxic").isNotNull() & F.col("quality").isNotNull()
+        F.col("toxic").isNotNull() | F.col("quality").isNotNull()
     )
     text = clean_text("text") if clean else F.coalesce(F.col("text"), F.lit(""))
     return docs.join(labels, "doc_id", "inner").select(
@@ -78,10 +102,20 @@ def training_frame(spark: SparkSession, sf_dir: str, clean: bool = True) -> Data
     )
 
 
+def label_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, toxic, low_quality`` from ``labels`` alone: no text and no join."""
+    return load_table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("toxic").cast("int").alias("toxic"), (F.lit(1) - F.col("quality")).cast("int").alias("low_quality")
+    )
+
+
 def message_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as messages to score: ``message_id, clean_comment``."""
-    conv = spread(load_table(spark, sf_dir, "conversations"), "conv_id")
+    """Conversation turns as messages to score: ``message_id, clean_comment``.
+
+    The id is ``conv_id:turn``, which no two turns share. Null text is empty.
+    """
+    conv = spread(load_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id")
     return conv.select(
-        (F.col("conv_id") * F.lit(1_000_000) + F.col("turn")).alias("message_id"),
-        clean_text("text").alias(TEXT_COL),
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("message_id"),
+        F.coalesce(clean_text("text"), F.lit("")).alias(TEXT_COL),
     )

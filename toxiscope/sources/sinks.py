@@ -11,13 +11,14 @@ def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     df.write.mode(mode).format(fmt).save(path)
 
 
-def render_metrics(metrics: DataFrame) -> DataFrame:
+def render_metrics(metrics: DataFrame, digits: int | None = None) -> DataFrame:
     """Metrics frame → text lines ``(label, metric, "v0 | v1")``, class 0 then class 1.
 
     Accuracy has a single value (stored for both classes) and is rendered once.
-    Missing values (a class absent from the true labels) render as ``NaN``.
+    ``digits`` fixes the decimals. Missing values (a class absent from the true labels) render as ``NaN``.
     """
-    val = F.coalesce(F.col("value").cast("string"), F.lit("NaN"))
+    shown = F.col("value").cast("string") if digits is None else F.format_string(f"%.{digits}f", "value")
+    val = F.when(F.col("value").isNull(), F.lit("NaN")).otherwise(shown)
     grouped = metrics.groupBy("label", "metric").agg(
         F.array_sort(F.collect_list(F.struct("class", val.alias("v")))).alias("vals")
     )

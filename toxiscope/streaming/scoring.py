@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from toxiscope.functions.text import clean_text
 from toxiscope.operators.score import score_labels
 from toxiscope.schema import TEXT_COL
-from toxiscope.session import scratch_path
+from toxiscope.session import cut_lineage, drop_path, scratch_path
 
 
 def score_stream(messages: DataFrame, features: PipelineModel, models: dict, key: str) -> DataFrame:
@@ -50,7 +50,10 @@ def read_message_stream(spark: SparkSession, folder: str, max_files_per_trigger:
 
 def stream_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: fit weighted NB per label on the training frame, stream the
-    documents table through it, and return what the sink committed."""
+    documents table through it, and compare what the sink committed with the batch scores.
+
+    ``label, rows, equal_to_batch``. The sink and the checkpoint are dropped afterwards.
+    """
     from toxiscope.operators.balance import WEIGHT_COL, class_weights
     from toxiscope.operators.classifiers import make_classifier
     from toxiscope.operators.split import train_test
@@ -68,8 +71,18 @@ def stream_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
     # the file source watches a folder; the glob keeps it to the documents table
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
-    messages = stream.select("doc_id", clean_text("text").alias(TEXT_COL))
-    sink = scratch_path(spark, "stream-sink")
-    q = start_scoring(score_stream(messages, fm, models, "doc_id"), sink, scratch_path(spark, "stream-ckpt"))
+    text = F.coalesce(clean_text("text"), F.lit("")).alias(TEXT_COL)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    q = start_scoring(score_stream(stream.select("doc_id", text), fm, models, "doc_id"), sink, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    batch = score_labels(fm.transform(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", text)), models, "doc_id")
+    theirs = batch.select("doc_id", "label", F.col("prediction").alias("p"), F.col("probability").alias("b"))
+    same = F.col("prediction").eqNullSafe(F.col("p")) & (F.abs(F.col("probability") - F.col("b")) < 1e-9)
+    found = cut_lineage(
+        spark.read.parquet(sink).join(theirs, ["doc_id", "label"], "left").groupBy("label").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("equal_to_batch")
+        )
+    )
+    drop_path(spark, sink)
+    drop_path(spark, ckpt)
+    return found
