@@ -1,7 +1,7 @@
 import pytest
 
 from toxiscope.operators import balance
-from toxiscope.session import checkpoint_dir, cut_lineage, drop_path, path_exists, scratch_path, spread
+from toxiscope.session import checkpoint_dir, cut_lineage, drop_path, path_exists, scratch_path, size_by_bytes, spread
 
 
 def _plan(df):
@@ -43,3 +43,10 @@ def test_scratch_folders_can_be_dropped(spark):
     assert path_exists(spark, path)
     drop_path(spark, path)
     assert not path_exists(spark, path)
+
+
+def test_size_by_bytes_follows_bytes_not_rows(spark):
+    tiny = cut_lineage(spark.range(0, 1000, numPartitions=16))
+    assert size_by_bytes(tiny).rdd.getNumPartitions() == 1
+    wide = cut_lineage(spark.range(0, 64, numPartitions=64).selectExpr("id", "repeat(uuid(), 30000) AS x"))
+    assert size_by_bytes(wide).rdd.getNumPartitions() >= 2

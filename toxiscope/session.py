@@ -79,3 +79,28 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
     return df.repartition(max(1, n), key)
 
+
+
+#: Least and usual bytes of a partition that an iterative estimator reads again and again.
+SMALL_PARTITION = 1 << 20
+FULL_PARTITION = 32 << 20
+
+
+def size_by_bytes(df: DataFrame) -> DataFrame:
+    """Coalesce ``df`` (a written table) to partitions of measured size.
+
+    At most ``FULL_PARTITION`` bytes each on average; down to one per core as long as they
+    hold ``SMALL_PARTITION`` bytes. An estimator that runs one job per gradient would else
+    spend a few hundred rows' fit on starting near-empty tasks. Only ever lowers the count.
+    """
+    import math
+
+    held = df.persist()
+    try:
+        held.count()
+        size = int(str(held._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    finally:
+        held.unpersist()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    want = max(math.ceil(size / FULL_PARTITION), min(cores, math.ceil(size / SMALL_PARTITION)), 1)
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
