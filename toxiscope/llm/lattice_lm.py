@@ -60,19 +60,53 @@ def vocabulary_path() -> str:
 
 
 class Pieces:
-    """Pieces a lower-cased word can hold, their ids and prefixes; the byte pieces come first."""
+    """Pieces a lower-cased word can hold and their ids; the byte pieces come first.
+
+    Substrings are looked up by a 64-bit rolling hash of their code points in a slot table;
+    the pieces that share a slot are in a small sorted array.
+    """
+
+    SLOT_BITS = 18
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
     def __init__(self, pieces: list[str]):
         own = [p for p in pieces if not any("A" <= c <= "Z" for c in p) and MARK not in p[1:]]
         self.names = list(dict.fromkeys(own))
         self.n = 256 + len(self.names)
         self.longest = max(map(len, self.names), default=1)
-        self.ids: dict[str, int] = {}
-        for p in self.names:
-            for i in range(1, len(p)):
-                self.ids.setdefault(p[:i], -1)
-        for i, p in enumerate(self.names):
-            self.ids[p] = 256 + i
+        self.ids = {p: 256 + i for i, p in enumerate(self.names)}
+        keys = np.array([self._hash(p) for p in self.names], np.uint64)
+        ids = np.arange(256, self.n, dtype=np.int32)
+        slot = self._slot(keys)
+        alone = np.bincount(slot, minlength=1 << self.SLOT_BITS)[slot] == 1
+        self.slot_key = np.zeros(1 << self.SLOT_BITS, np.uint64)
+        self.slot_id = np.full(1 << self.SLOT_BITS, -1, np.int32)
+        self.slot_key[slot[alone]], self.slot_id[slot[alone]] = keys[alone], ids[alone]
+        self.slot_id[slot[~alone]] = -2
+        order = np.argsort(keys[~alone])
+        self.shared_keys, self.shared_ids = keys[~alone][order], ids[~alone][order]
+
+    def _hash(self, piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * int(self.BASE) + ord(c) + 1) % (1 << 64)
+        return h
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * self.SPREAD) >> np.uint64(64 - self.SLOT_BITS)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Ids of hashed substrings; -1 for none."""
+        slot = self._slot(keys)
+        got = self.slot_id[slot]
+        out = np.where(self.slot_key[slot] == keys, got, -1)
+        shared = got == -2
+        if shared.any():
+            asked = keys[shared]
+            at = np.minimum(np.searchsorted(self.shared_keys, asked), len(self.shared_keys) - 1)
+            out[shared] = np.where(self.shared_keys[at] == asked, self.shared_ids[at], -1)
+        return out
 
     def first_scores(self) -> np.ndarray:
         """Natural log probabilities from the vocabulary's order, p ~ 1 / (rank + 3)."""
@@ -92,21 +126,27 @@ def load_pieces(path: str) -> Pieces:
 
 
 def _lattice(words: list[str], pieces: Pieces, extra: dict[str, int]) -> np.ndarray:
-    """ids[w, j, l-1]: piece of length l that ends at position j; -1 for none. Words of one length."""
+    """ids[w, j, l-1]: piece of length l that ends at position j; -1 for none. Words of one length.
+
+    ``extra`` takes the characters that are no piece; their ids begin at ``pieces.n``.
+    """
     length = len(words[0]) + 1
-    ids = np.full((len(words), length + 1, pieces.longest), -1, np.int32)
-    get, most = pieces.ids.get, pieces.longest
-    for w, word in enumerate(words):
-        s, row = MARK + word, ids[w]
-        for i in range(length):
-            for j in range(i + 1, min(i + most, length) + 1):
-                found = get(s[i:j])
-                if found is None:
-                    break
-                if found >= 0 and not (i and s[i] == MARK):
-                    row[j, j - i - 1] = found
-            if row[i + 1, 0] < 0:  # no piece for this character: its bytes
-                row[i + 1, 0] = extra.setdefault(s[i], pieces.n + len(extra))
+    codes = np.full((len(words), length), ord(MARK), np.uint64)
+    if length > 1:
+        codes[:, 1:] = np.array(words, f"<U{length - 1}").view(np.uint32).reshape(len(words), -1)
+    most = min(pieces.longest, length)
+    ids = np.full((len(words), length + 1, most), -1, np.int32)
+    marks = codes[:, 1:] == ord(MARK)  # the mark itself inside a word begins no piece
+    h = np.zeros(codes.shape, np.uint64)
+    for n in range(1, most + 1):
+        h = h[:, : length - n + 1] * pieces.BASE + codes[:, n - 1 :] + np.uint64(1)
+        found = pieces.find(h)
+        if marks.any():
+            found[:, 1:][marks[:, : length - n]] = -1
+        ids[:, n:, n - 1] = found
+    single = ids[:, 1:, 0]
+    for c in np.unique(codes[single < 0]):
+        single[(single < 0) & (codes == c)] = extra.setdefault(chr(c), pieces.n + len(extra))
     return ids
 
 
@@ -153,7 +193,7 @@ def expected_counts(ids: np.ndarray, score: np.ndarray, size: int) -> np.ndarray
     return total
 
 
-def _by_length(words: list[str], cells: int = 1 << 16) -> Iterator[np.ndarray]:
+def _by_length(words: list[str], cells: int = 1 << 15) -> Iterator[np.ndarray]:
     """Positions of words of one length, few enough for bounded memory."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(sizes, kind="stable")
