@@ -281,9 +281,11 @@ def repeated_passages(
     ``start`` and ``length`` are code points; ``cluster_id`` is the cluster of the passage's
     first paragraph; ``removed`` is false where the passage is the first occurrence.
     """
-    cut = stored(cut_units(docs, key, text, row, min_unit), "passage-units")
+    # two passes over the text: places without bodies, and each different body once
+    cut = stored(cut_units(docs, key, text, row, min_unit).drop("body"), "passage-units")
     paragraphs = stored(
-        cut.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("body")), "passage-texts"
+        cut_units(docs, key, text, row, min_unit).select("uid", "body")
+        .groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("body")), "passage-texts",
     )
     part = stored(connected_components(similar_links(paragraphs, threshold, recall, band_rows)), "passage-clusters")
     cluster = (
@@ -291,9 +293,10 @@ def repeated_passages(
         .where("n > 1 or component is not null")
         .select("uid", F.coalesce("component", "uid").alias("cluster"))
     )
-    found = stored(cut.drop("body").join(cluster, "uid"), "passage-found")
+    found = stored(cut.join(cluster, "uid"), "passage-found")
     place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"), F.col("place"))
-    first = found.groupBy("cluster").agg(F.min(place).alias("first"))
+    # stored, so that the join shuffles both sides and can split a hot cluster
+    first = stored(found.groupBy("cluster").agg(F.min(place).alias("first")), "passage-first")
     marked = found.join(first, "cluster").withColumn(
         "removed", (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
     ).drop("first", "uid")
