@@ -116,8 +116,10 @@ def later_copies(lines: DataFrame, min_words: int) -> DataFrame:
     windows = stored(windows, "line-windows")
     place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"), F.col("pos"))
     first = windows.groupBy("h", "head", "last").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    # stored, so that the join shuffles both sides and can split the windows of a hot line
+    first = stored(first.where("n > 1"), "line-first")
     copies = (
-        windows.join(first.where("n > 1"), ["h", "head", "last"])
+        windows.join(first, ["h", "head", "last"])
         .where((F.col("row") != F.col("first.row")) | (F.col("pos") != F.col("first.pos")))
         .select("row", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("h") - 1)).alias("pos"))
         .distinct()
@@ -141,7 +143,8 @@ def dedup_lines(
     gone_rows = later_copies(lines, min_words).groupBy(F.col("row").alias(row)).agg(
         F.sort_array(F.collect_list("line_no")).alias(gone)
     )
-    out = docs.join(stored(gone_rows, "line-gone"), row, "left")
+    # the deletions grow with the documents: a shuffle join at every size
+    out = docs.join(stored(gone_rows, "line-gone").hint("merge"), row, "left")
     drop_stored(lines)
     all_lines = F.split(F.col(text), NEWLINE, -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(gone))
