@@ -215,3 +215,14 @@ def test_model_comparison_ranks_every_run(separable):
     assert len(rows) == 6 and sorted(r["rank"] for r in rows) == list(range(1, 7))
     best = sorted(rows, key=lambda r: r["rank"])
     assert best[0].f1 >= 0.9 and [r.f1 for r in best] == sorted((r.f1 for r in best), reverse=True)
+
+
+def test_model_comparison_query_tunes_over_grid_and_folds(spark, monkeypatch):
+    from toxiscope.plans import comparison, ml_queries
+
+    folds = []
+    monkeypatch.setattr(comparison, "prepare_features", lambda *a, **k: (None, None, None))
+    monkeypatch.setattr(comparison, "train_all", lambda *a, num_folds=None, **k: folds.append(num_folds) or {})
+    monkeypatch.setattr(comparison, "ranked", lambda results: results)
+    ml_queries.q_model_comparison(spark, "/root/testdata/sf0.001")
+    assert folds and set(folds) == {None}  # None: each kind's own folds
