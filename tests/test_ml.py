@@ -226,3 +226,20 @@ def test_model_comparison_query_tunes_over_grid_and_folds(spark, monkeypatch):
     monkeypatch.setattr(comparison, "ranked", lambda results: results)
     ml_queries.q_model_comparison(spark, "/root/testdata/sf0.001")
     assert folds and set(folds) == {None}  # None: each kind's own folds
+
+
+@pytest.mark.parametrize("parts", [None, 3])
+def test_stream_score_takes_a_file_or_a_folder(spark, tmp_path, parts):
+    import shutil
+
+    from toxiscope.streaming.scoring import stream_score_documents
+
+    source = "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        if parts and name == "documents":
+            spark.read.parquet(f"{source}/{name}.parquet").repartition(parts).write.parquet(f"{tmp_path}/{name}.parquet")
+        else:
+            shutil.copy(f"{source}/{name}.parquet", f"{tmp_path}/{name}.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet").count()
+    found = stream_score_documents(spark, str(tmp_path)).collect()
+    assert len(found) == 2 and all(r["rows"] == r["equal_to_batch"] == rows for r in found)

@@ -48,6 +48,16 @@ def read_message_stream(spark: SparkSession, folder: str, max_files_per_trigger:
     return df.select(F.xxhash64(F.col("_metadata.file_path")).alias("message_id"), F.col("value").alias(TEXT_COL))
 
 
+def read_table_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table as a stream, be it one file or a folder of part files."""
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(fs_path).isDirectory():
+        return r.parquet(path)
+    # the file source watches a folder; the glob keeps it to the one file
+    return r.option("pathGlobFilter", fs_path.getName()).parquet(fs_path.getParent().toString())
+
+
 def stream_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: fit weighted NB per label on the training frame, stream the
     documents table through it, and compare what the sink committed with the batch scores.
@@ -67,15 +77,17 @@ def stream_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         label: make_classifier("nb", label, weight_col=WEIGHT_COL).fit(class_weights(train_f, label))
         for label in DRIVER_LABELS
     }
-    folder = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{folder}/documents.parquet").schema
-    # the file source watches a folder; the glob keeps it to the documents table
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    stream = read_table_stream(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
     text = F.coalesce(clean_text("text"), F.lit("")).alias(TEXT_COL)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     q = start_scoring(score_stream(stream.select("doc_id", text), fm, models, "doc_id"), sink, ckpt)
     q.awaitTermination()
-    batch = score_labels(fm.transform(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", text)), models, "doc_id")
+    asked, got = table.count(), spark.read.parquet(sink).groupBy("label").count().collect()
+    short = {label: n for label in models if (n := {r["label"]: r["count"] for r in got}.get(label, 0)) < asked}
+    if short:
+        raise RuntimeError(f"the stream committed {short} rows of {asked} rows a label")
+    batch = score_labels(fm.transform(table.select("doc_id", text)), models, "doc_id")
     theirs = batch.select("doc_id", "label", F.col("prediction").alias("p"), F.col("probability").alias("b"))
     same = F.col("prediction").eqNullSafe(F.col("p")) & (F.abs(F.col("probability") - F.col("b")) < 1e-9)
     found = cut_lineage(
