@@ -116,3 +116,22 @@ def test_stars_cover_runs_across_batches():
         out = list(passages._stars(batch(rows[i : i + size]) for i in range(0, 12, size)))
         got = [tuple(r.values()) for b in out for r in b.to_pylist()]
         assert got == [(k, 10 * k, 10 * k + i) for k in range(4) for i in (1, 2)]
+
+
+def test_passages_of_short_sentences_are_found(spark):
+    rng = random.Random(8)
+    talk = " ".join(sentence(rng, n) for n in (3, 4, 2, 5, 7, 7, 1, 6, 4, 3, 2))
+    mixed = " ".join(sentence(rng, n) for n in (7, 7, 7, 17, 2, 14))
+    doc = lambda mid: " ".join([sentence(rng), sentence(rng, rng.randrange(1, 8)), mid, sentence(rng, 6), sentence(rng)])
+    rows = [(i, doc(sentence(rng, 30))) for i in range(20)]
+    rows += [(100, doc(talk)), (101, doc(talk)), (200, doc(mixed)), (201, doc(mixed))]
+    rows += [(300, " ".join(["Ha ha."] * 30))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = dict(passages.remove_passages(docs).select("doc_id", "text").collect())
+    for i, t in rows:
+        if i in (101, 201):
+            passage = talk if i == 101 else mixed
+            assert left[i].split() == t.replace(passage, "").split()
+        elif i != 300:
+            assert left[i] == t
+    assert left[300].count("Ha ha.") >= 4  # the first paragraph stays whole

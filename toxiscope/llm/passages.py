@@ -1,9 +1,12 @@
 """Substring deduplication: MinHash banding over short paragraphs, verified and clustered.
 
 Texts are cut at line breaks and sentence ends, which is where a passage that was pasted
-into another text keeps its own cuts. Each unit of at least ``MIN_UNIT`` words is a
-paragraph. Equal paragraphs (A-Z lower-cased, blanks collapsed) are grouped first; every
-different one gets a MinHash signature of its five-word shingles. The bands are tuned so
+into another text keeps its own cuts. A paragraph is a least run of units with ``MIN_UNIT``
+words: from each unit the fewest units forward, and to each unit the fewest back. So a unit
+of that many words is one, and shorter ones are compared together with their neighbours,
+whatever stands before the passage. Equal paragraphs (A-Z lower-cased, blanks collapsed) are grouped first; every
+different one gets a MinHash signature of its five-word shingles; only where short units are
+joined to a long one, which would pass for them, must paragraphs be equal. The bands are tuned so
 that a pair at the threshold collides in some band with probability ``RECALL`` or more.
 
 A bucket's paragraphs are compared with its most frequent one (a star, linear in the
@@ -12,10 +15,10 @@ bucket) by exact Jaccard similarity of the shingle sets. Pairs that the stars le
 only the links of a spanning forest leave a block; so no colliding pair at the threshold
 is lost and nothing quadratic is written. Clusters are connected components.
 
-A passage is a run of clustered paragraphs (shorter units between them belong to it) of at
+A passage is a run of clustered paragraphs that meet (shorter units between them belong to it) of at
 least ``MIN_PASSAGE`` words. The first occurrence of each cluster in the order of documents
-(id, null last; rows with one id in stored order; position) stays, the later ones are
-marked for removal.
+(id, null last; rows with one id in stored order; position) stays, the later ones
+that do not overlap it are marked for removal.
 
 Defined results: a null or empty text has no paragraph; texts of any length are cut whole;
 repeated rows are later copies; an empty table gives an empty result.
@@ -71,12 +74,36 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def paragraphs_of(words: list[int], min_unit: int) -> list[tuple[int, int]]:
+    """First and last unit of every paragraph, in order; ``words`` counts those of each unit."""
+    found, j, total = set(), 0, 0
+    for i, n in enumerate(words):  # the fewest units forward
+        while j < len(words) and total < min_unit:
+            total, j = total + words[j], j + 1
+        if total < min_unit:
+            break
+        found.add((i, j - 1))
+        total -= n
+    i, total = 0, 0
+    for j, n in enumerate(words):  # the fewest units back
+        total += n
+        while total - words[i] >= min_unit:
+            total, i = total - words[i], i + 1
+        if total >= min_unit:
+            found.add((i, j))
+    return sorted(found)
+
+
 def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: int) -> DataFrame:
-    """``(row, id, place, start, end, before, words, uid, body)`` of the paragraphs; ``place``
-    counts paragraphs only, ``before`` the words of the document up to here."""
+    """``(row, id, place, last, reach, start, end, before, words, exact, uid, body)`` of the paragraphs.
+
+    ``place`` and ``last`` are the first and the last unit, ``reach`` the next unit of ``min_unit``
+    words (only shorter ones lie between), ``before`` the words of the document up to here;
+    ``exact`` marks short units joined to a long one.
+    """
     import xxhash
 
-    fields = ["row", "id", "place", "start", "end", "before", "words", "uid", "body"]
+    fields = ["row", "id", "place", "last", "reach", "start", "end", "before", "words", "exact", "uid", "body"]
     ident = F.col(row) if row else F.monotonically_increasing_id()
     slim = spread_rows(docs.select(F.col(key).alias("id"), F.col(text).alias("text"), *([F.col(row)] if row else [])))
     slim = slim.select(ident.alias("row"), "id", "text")
@@ -88,23 +115,31 @@ def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: i
                 b = big.slice(first, 512)
                 out, which = [], []
                 for i, t in enumerate(b.column(2)):
-                    text, before, place = t.as_py() or "", 0, 0
-                    for begin, end in units(text):
-                        words = text[begin:end].encode("utf-8", "surrogatepass").lower().split()
-                        if len(words) >= min_unit:
-                            body = b" ".join(words)
-                            out.append((place, begin, end, before, len(words), xxhash.xxh64_intdigest(body, SEED), body))
-                            which.append(i)
-                            place += 1
-                        before += len(words)
-                cols = list(zip(*out)) or [()] * 7
+                    text = t.as_py() or ""
+                    cut = [(begin, end, text[begin:end].encode("utf-8", "surrogatepass").lower().split()) for begin, end in units(text)]
+                    cut = [u for u in cut if u[2]]
+                    sizes = [len(u[2]) for u in cut]
+                    upto = np.concatenate([[0], np.cumsum(sizes)]).astype(int).tolist()
+                    reach = [len(cut)] * (len(cut) + 1)
+                    for p in range(len(cut) - 1, -1, -1):
+                        reach[p] = p if sizes[p] >= min_unit else reach[p + 1]
+                    for p, q in paragraphs_of(sizes, min_unit):
+                        body = b" ".join(w for u in cut[p : q + 1] for w in u[2])
+                        exact = p < q and reach[p] <= q
+                        uid = xxhash.xxh64_intdigest(body, SEED)
+                        out.append((p, q, reach[q + 1], cut[p][0], cut[q][1], upto[p], upto[q + 1] - upto[p], exact, uid, body))
+                        which.append(i)
+                cols = list(zip(*out)) or [()] * 10
                 kept = [c.take(pa.array(which, pa.int32())) for c in b.columns[:2]]
-                kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-                data = [pa.array(c, k) for c, k in zip(cols[:5], kinds)]
-                uid = pa.array(np.array(cols[5], np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*kept, *data, uid, pa.array(cols[6], pa.binary()).cast(pa.string())], fields)
-
-    schema = f"row long, id {id_type}, place int, start int, end int, before long, words int, uid long, body string"
+                kinds = [*[pa.int32()] * 5, pa.int64(), pa.int32(), pa.bool_()]
+                data = [pa.array(c, k) for c, k in zip(cols[:8], kinds)]
+                uid = pa.array(np.array(cols[8], np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*kept, *data, uid, pa.array(cols[9], pa.binary()).cast(pa.string())], fields)
+
+    schema = (
+        f"row long, id {id_type}, place int, last int, reach int, start int, end int, before long, words int, "
+        "exact boolean, uid long, body string"
+    )
     return slim.mapInArrow(run, schema)
 
 
@@ -282,33 +317,36 @@ def repeated_passages(
     first paragraph; ``removed`` is false where the passage is the first occurrence.
     """
     # two passes over the text: places without bodies, and each different body once
-    cut = stored(cut_units(docs, key, text, row, min_unit).drop("body"), "passage-units")
+    cut = stored(cut_units(docs, key, text, row, min_unit).drop("body", "exact"), "passage-units")
     paragraphs = stored(
-        cut_units(docs, key, text, row, min_unit).select("uid", "body")
-        .groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("body")), "passage-texts",
+        cut_units(docs, key, text, row, min_unit)
+        .select("uid", F.when(~F.col("exact"), F.col("body")).alias("body"))
+        .groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("body"))
+        .where("n > 1 or body is not null"), "passage-texts",
     )
-    part = stored(connected_components(similar_links(paragraphs, threshold, recall, band_rows)), "passage-clusters")
+    links = similar_links(paragraphs.where("body is not null"), threshold, recall, band_rows)
+    part = stored(connected_components(links), "passage-clusters")
     cluster = (
         paragraphs.select("uid", "n").join(part.withColumnRenamed("node", "uid"), "uid", "left")
         .where("n > 1 or component is not null")
         .select("uid", F.coalesce("component", "uid").alias("cluster"))
     )
     found = stored(cut.join(cluster, "uid"), "passage-found")
-    place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"), F.col("place"))
+    place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"), F.col("place"), F.col("last"))
     # stored, so that the join shuffles both sides and can split a hot cluster
     first = stored(found.groupBy("cluster").agg(F.min(place).alias("first")), "passage-first")
     marked = found.join(first, "cluster").withColumn(
-        "removed", (F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place"))
+        "removed", (F.col("row") != F.col("first.row")) | (F.col("place") > F.col("first.last"))
     ).drop("first", "uid")
-    # runs of neighbouring paragraphs with one mark
-    w = Window.partitionBy("row", "removed").orderBy("place")
-    runs = marked.withColumn("run", F.col("place") - F.row_number().over(w))
-    least = lambda c: F.min_by(c, "place")
-    last = lambda c: F.max_by(c, "place")
+    # runs of paragraphs with one mark that meet or have only shorter units between them
+    w = Window.partitionBy("row", "removed").orderBy("place", "last")
+    far = F.max("reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    runs = marked.withColumn("new", F.coalesce((F.col("place") > far).cast("int"), F.lit(1)))
+    runs = runs.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     spans = runs.groupBy("row", "removed", "run").agg(
         F.min("id").alias(key), F.min("start").alias("start"), F.max("end").alias("end"),
-        (last(F.col("before") + F.col("words")) - least(F.col("before"))).alias("words"),
-        F.count(F.lit(1)).alias("n_units"), least(F.col("cluster")).alias("cluster_id"),
+        (F.max(F.col("before") + F.col("words")) - F.min("before")).cast("long").alias("words"),
+        F.count(F.lit(1)).alias("n_units"), F.min_by("cluster", F.struct("place", "last")).alias("cluster_id"),
     )
     return spans.where(F.col("words") >= min_passage).select(
         "row", key, "start", (F.col("end") - F.col("start")).alias("length"), "words", "n_units", "cluster_id", "removed"
