@@ -1,0 +1,104 @@
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from toxiscope.llm import periodic, queries
+
+
+def brute_runs(t):
+    """All maximal periodic stretches, straight from the definition."""
+    n, out = len(t), []
+    for q in range(1, n // 3 + 1):
+        i = q
+        while i < n:
+            if t[i] != t[i - q]:
+                i += 1
+                continue
+            a = i
+            while i < n and t[i] == t[i - q]:
+                i += 1
+            start, length = a - q, i - a + q
+            if length >= max(24, 3 * q):
+                part = t[start : start + length]
+                if not any(all(part[k] == part[k - r] for k in range(r, length)) for r in range(1, q)):
+                    out.append((start, length, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def brute_row(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = None
+    for r in runs:
+        if best is None or r[1] * best[2] > best[1] * r[2]:
+            best = r
+    top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    left = " ".join(w for i, w in enumerate(words) if i not in gone)
+    return (doc_id, len(runs), *top, *(hashlib.sha256(x.encode()).hexdigest() for x in (lines, left)))
+
+
+def test_runs_equal_the_definition_on_random_texts():
+    rng = random.Random(1)
+    for _ in range(250):
+        texts = []
+        for _ in range(rng.randint(1, 4)):
+            words, size = [], rng.randint(0, 200)
+            while len(words) < size:
+                v = rng.choice([1, 2, 3, 30])
+                part = [b"%d" % rng.randrange(v) for _ in range(rng.randint(1, 45))]
+                words += part if rng.random() < 0.5 else (part * 8)[: rng.randint(1, 7 * len(part))]
+            texts.append(words)
+        assert periodic.find_runs(texts) == [brute_runs(t) for t in texts]
+
+
+@pytest.mark.parametrize("words, runs", [
+    (["a"] * 23, []),
+    (["a"] * 24, [(0, 24, 1)]),
+    (["x", *"abcdefghi" * 3, "y"], [(1, 27, 9)]),
+    (list("abcdefghi" * 3)[:-1], []),
+    (["a", "b"] * 12 + ["b", "a"] * 12, [(0, 24, 2), (24, 24, 2)]),
+])
+def test_runs_at_the_limits(words, runs):
+    assert periodic.find_runs([[w.encode() for w in words]]) == [runs]
+
+
+def test_very_long_and_very_repetitive_texts():
+    assert periodic.find_runs([[b"a"] * 200_000]) == [[(0, 200_000, 1)]]
+    page = [b"%d" % i for i in range(30_000)]
+    assert periodic.find_runs([page * 4]) == [[(0, 120_000, 30_000)]]
+    assert len(set(periodic.collapse(page * 4, [(0, 120_000, 30_000)]).split())) == 30_000
+
+
+def test_query_equals_brute_force(spark, tmp_path, documents):
+    rng = random.Random(5)
+    rows = [(r.doc_id, " ".join((r.text or "").split()[:90])) for r in documents.select("doc_id", "text").limit(60).collect()]
+    for i in range(60):
+        part = [rng.choice("abc") for _ in range(rng.randint(1, 12))]
+        rows.append((1000 + i, " ".join((part * 30)[: rng.randint(0, 120)] + ["é", "z"] + part * rng.randint(0, 6))))
+    rows += [(1, "a " * 40), (1, "a " * 40), (2, ""), (3, None), (4, " \t\n\x0b\x0c\r ")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(tuple(r) for r in queries.op12_periodic(spark, str(tmp_path)).collect())
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(found, key=key) == sorted((brute_row(*r) for r in rows), key=key)
+
+
+def test_messy_and_empty_tables(spark, messy, no_docs):
+    clash = messy.withColumn("runs", F.lit(1)).withColumn("Collapsed", F.lit("x"))
+    out = periodic.periodic_runs(clash)
+    assert out.columns[-2:] == ["runs_", "collapsed_"] and out.count() == messy.count()
+    assert out.where("doc_id = 3").select("collapsed_").first()[0] == ""
+    long_text = out.where("doc_id = 5").first()
+    assert [tuple(r) for r in long_text.runs_] == [(0, 60_000, 977)] and len(long_text.collapsed_.split()) == 977
+    assert periodic.periodic_runs(no_docs).count() == 0

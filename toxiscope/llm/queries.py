@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxiscope.llm import kdtree, langid, lattice_lm, linededup, mixing, nndescent, packing, passages, simhash, toolcalls
+from toxiscope.llm import (
+    kdtree, langid, lattice_lm, linededup, mixing, nndescent, packing, passages, periodic, simhash, toolcalls,
+)
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
 
@@ -85,6 +89,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the texts (by crc32 of the id) end in a loop; a null id changes nothing."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    loop = words[a : a + p]
+    return words[:a] + (loop * ((n - a) // len(loop) + 1))[: n - a]
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs: their number, the strongest, and digests of all runs
+    and of the text that is left."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(docs, change=looped)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    top = periodic.strongest("runs")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"),
+        top["length"].alias("length"), top["period"].alias("period"),
+        F.call_function("div", top["length"] * 1000, top["period"]).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_nndescent": op1_nndescent,
     "op2_mixing": op2_mixing,
@@ -96,4 +128,5 @@ QUERIES = {
     "op8_passages": op8_passages,
     "op9_kdtree": op9_kdtree,
     "op10_packing": op10_packing,
+    "op12_periodic": op12_periodic,
 }
