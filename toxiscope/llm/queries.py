@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toxiscope.llm import (
-    kdtree, langid, lattice_lm, linededup, mixing, nndescent, packing, passages, periodic, simhash, toolcalls,
+    kdtree, langid, lattice_lm, linededup, mixing, nndescent, packing, passages, periodic, repair, simhash, toolcalls,
 )
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
@@ -117,6 +120,61 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fifth of their turns spoiled, by crc32 of ``conv_id:turn``. A null
+    is one blank, in the key too; conv_id and turn stay null."""
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(plain("text"), ".!?", "")).otherwise(plain("text"))
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, F.lit("user")).otherwise(plain("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(kind == 0, F.array().cast("array<int>")).when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+def conversation_digests(turns: DataFrame) -> DataFrame:
+    """``conv_id, digest``: sha256 of the lines ``role:text`` in order. A digest is one
+    sequential computation, so a conversation's lines pass one task, in a stream; nothing of
+    them is held but the digest's state."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, begun = None, None, False
+        for b in batches:
+            done = []
+            for conv, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if not begun or conv != now:
+                    if begun:
+                        done.append((now, state.hexdigest()))
+                    now, state, begun = conv, hashlib.sha256(line.encode()), True
+                else:
+                    state.update(b"\n" + line.encode())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], b.schema.field(0).type), pa.array([d[1] for d in done])], ["conv_id", "digest"])
+        if begun:
+            yield pa.RecordBatch.from_arrays([pa.array([now], b.schema.field(0).type), pa.array([state.hexdigest()])], ["conv_id", "digest"])
+
+    lines = turns.repartition("conv_id").sortWithinPartitions("conv_id", "place", "part")
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    return lines.select("conv_id", F.concat("role", F.lit(":"), "text")).mapInArrow(digest, f"conv_id {kind}, digest string")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after the damage: its faults, cheapest edits and repaired text."""
+    rows = read_table(spark, sf_dir, "conversations")
+    found = repair.repair_conversations(damaged(rows))
+    out = rows.select("conv_id").distinct().alias("o")
+    same = lambda t: F.col("o.conv_id").eqNullSafe(F.col(f"{t}.conv_id"))
+    joined = out.join(found.conversations.alias("f"), same("f"), "left").join(
+        conversation_digests(found.turns).alias("d"), same("d"), "left"
+    )
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        "o.conv_id", *[F.coalesce(f"f.{c}", F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("f.audit", F.lit("")).alias("audit"),
+        F.coalesce("d.digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_nndescent": op1_nndescent,
     "op2_mixing": op2_mixing,
@@ -129,4 +187,5 @@ QUERIES = {
     "op9_kdtree": op9_kdtree,
     "op10_packing": op10_packing,
     "op12_periodic": op12_periodic,
+    "op13_repair": op13_repair,
 }
