@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from toxiscope.llm.licenses import TEMPLATES
+
 OP2_MIXING = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -125,9 +127,71 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_NOT_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words_sql(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{_NOT_WORD}')"
+
+
+def license_sql(templates, gram: int = 3, least: float = 0.8, exact_below: int = 10, shift: float = 0.125) -> str:
+    """Positions of the templates' word k-grams, compared as lists, without hashes."""
+    rows = ", ".join(
+        "({}, '{}', {}, '{}')".format(i, t.label, t.base, t.text.replace("'", "''")) for i, t in enumerate(templates)
+    )
+    covered = f"""list_sum([CASE WHEN i = len(p) THEN {gram} ELSE least(p[i + 1] - p[i], {gram}) END FOR i IN range(1, len(p) + 1)])"""
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, {_words_sql('text')} AS ws FROM documents
+), t0 AS (
+  SELECT id, label, base, {_words_sql('body')} AS ws FROM (VALUES {rows}) v(id, label, base, body)
+), t AS (
+  SELECT id, label, base, len(ws) AS size, unnest(range(len(ws) - {gram - 1})) AS place, ws FROM t0
+), g AS (
+  SELECT uid, ws, unnest(range(greatest(len(ws) - {gram - 1}, 0))) AS place FROM d
+), hit AS (
+  SELECT g.uid, t.id, g.place AS spot, t.place, g.place - t.place AS diagonal
+  FROM g JOIN t ON g.ws[g.place + 1 : g.place + {gram}] = t.ws[t.place + 1 : t.place + {gram}]
+), diag AS (
+  SELECT uid, id, diagonal, min(spot) AS a, max(spot) AS b, list_sort(list(place)) AS p FROM hit GROUP BY ALL
+), alone AS (
+  SELECT diag.*, label, base, size, {covered} / greatest(size, b + {gram} - a)::DOUBLE AS sim
+  FROM diag JOIN (SELECT id, label, base, len(ws) AS size FROM t0) USING (id)
+), marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > floor(size * {shift}) OR lag(diagonal) OVER w IS NULL THEN 1 ELSE 0 END AS new
+  FROM alone WINDOW w AS (PARTITION BY uid, id ORDER BY diagonal)
+), parts AS (
+  SELECT *, sum(new) OVER (PARTITION BY uid, id ORDER BY diagonal) AS part FROM marked
+), merged AS (
+  SELECT uid, id, part, label, base, size, max(sim) AS best, min(a) AS a, max(b) AS b,
+         list_sort(list_distinct(flatten(list(p)))) AS p
+  FROM parts GROUP BY ALL
+), verified AS (
+  SELECT uid, label, sim FROM (
+    SELECT *, greatest(best, {covered} / greatest(size, b + {gram} - a)::DOUBLE) AS sim FROM merged WHERE NOT base
+  ) WHERE sim >= CASE WHEN size < {exact_below} THEN 1.0 ELSE {least} END
+), exact AS (
+  SELECT uid, label, diagonal AS start FROM alone WHERE base AND len(p) = size - {gram - 1}
+), e AS (
+  SELECT uid, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM exact GROUP BY uid
+), a AS (
+  SELECT uid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(sim) AS score
+  FROM (SELECT * FROM verified UNION ALL SELECT uid, label, 1.0 FROM exact) GROUP BY uid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(CAST(coalesce(score, 0) AS DOUBLE), 6) AS score
+FROM d LEFT JOIN e USING (uid) LEFT JOIN a USING (uid)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_mixing": OP2_MIXING,
     "op5_linededup": OP5_LINEDEDUP,
     "op7_toolcalls": OP7_TOOLCALLS,
     "op9_kdtree": OP9_KDTREE,
+    "op11_licenses": license_sql(TEMPLATES),
 }

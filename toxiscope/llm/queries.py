@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toxiscope.llm import (
-    kdtree, langid, lattice_lm, linededup, mixing, nndescent, packing, passages, periodic, repair, simhash, toolcalls,
+    kdtree, langid, lattice_lm, licenses, linededup, mixing, nndescent, packing, passages, periodic, repair, simhash,
+    toolcalls,
 )
 from toxiscope.llm.common import count_words, id_remainder, read_table, spread_rows, stored
 
@@ -92,6 +93,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact license phrases and license notices of every document."""
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    exact = F.filter("spans", lambda s: s["base"])
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    starts = F.transform(exact, lambda s: s["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(exact).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(exact).alias("base_labels"), labels(F.col("spans")).alias("labels"),
+        F.round(F.coalesce(F.array_max(F.transform("spans", lambda s: s["similarity"])), F.lit(0.0)), 6).alias("score"),
+    )
+
+
 def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """A tenth of the texts (by crc32 of the id) end in a loop; a null id changes nothing."""
     h = zlib.crc32(str(doc_id).encode())
@@ -186,6 +201,7 @@ QUERIES = {
     "op8_passages": op8_passages,
     "op9_kdtree": op9_kdtree,
     "op10_packing": op10_packing,
+    "op11_licenses": op11_licenses,
     "op12_periodic": op12_periodic,
     "op13_repair": op13_repair,
 }
