@@ -316,9 +316,9 @@ def oracle_queries() -> dict[str, str]:
         "metrics_text": f"""{nb1}, m AS ({_long_metrics_sql('wide')}),
               t AS (SELECT class, metric, coalesce(printf('%.6f', value), 'NaN') AS v FROM m)
             SELECT '{LABEL}' AS label, metric, string_agg(v, ' | ' ORDER BY class) AS text FROM t GROUP BY metric""",
-        # identity checks: the rows in SQL, and that every row's check holds
-        "lr_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
-        "svm_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
+        # identity checks: the rows in SQL, that every row's check holds, and that LR and SVM are at a minimum
+        "lr_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent, 0.0::DOUBLE AS violation {test_rows}",
+        "svm_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent, 0.0::DOUBLE AS violation {test_rows}",
         "mlp_word2vec": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
         "mlp_embeddings": f"""SELECT vec_id, CAST(label AS INTEGER) AS label, TRUE AS consistent
             FROM embeddings WHERE {unit_hash_sql('vec_id', SPLIT_SEED)} < {TEST_FRACTION}""",
