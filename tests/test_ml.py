@@ -52,10 +52,10 @@ def test_mlp_oversample(feats):
     assert _f1(res.metrics) >= 0.9
 
 
-def test_mlp_refuses_weight(feats):
+def test_mlp_weight(feats):
     _, tr, te = feats
-    with pytest.raises(ValueError):
-        train_label(tr, te, "toxic", "doc_id", "mlp", "weight")
+    res = train_label(tr, te, "toxic", "doc_id", "mlp", "weight")
+    assert res.method == "weight" and _f1(res.metrics) >= 0.9
 
 
 def test_train_all_and_multilabel_scoring_roundtrip(spark, feats, separable):
@@ -220,9 +220,11 @@ def test_model_comparison_ranks_every_run(separable):
 def test_model_comparison_query_tunes_over_grid_and_folds(spark, monkeypatch):
     from toxiscope.plans import comparison, ml_queries
 
-    folds = []
+    folds, keep = [], spark.read.__class__.parquet
     monkeypatch.setattr(comparison, "prepare_features", lambda *a, **k: (None, None, None))
     monkeypatch.setattr(comparison, "train_all", lambda *a, num_folds=None, **k: folds.append(num_folds) or {})
+    monkeypatch.setattr(comparison, "train_linear", lambda *a: folds.append(a[-1]) or {})
+    monkeypatch.setattr(spark.read.__class__, "parquet", lambda self, *a, **k: keep(self, *a, **k) if "/runs-" not in a[0] else None)
     monkeypatch.setattr(comparison, "ranked", lambda results: results)
     ml_queries.q_model_comparison(spark, "/root/testdata/sf0.001")
     assert folds and set(folds) == {None}  # None: each kind's own folds
@@ -243,3 +245,21 @@ def test_stream_score_takes_a_file_or_a_folder(spark, tmp_path, parts):
     rows = spark.read.parquet(f"{tmp_path}/documents.parquet").count()
     found = stream_score_documents(spark, str(tmp_path)).collect()
     assert len(found) == 2 and all(r["rows"] == r["equal_to_batch"] == rows for r in found)
+
+
+def test_model_comparison_restart_makes_only_what_is_missing(spark, separable, monkeypatch):
+    from toxiscope.plans import comparison
+
+    train, test = train_test(separable, "doc_id")
+    runs = scratch_path(spark, "test-runs")
+    go = lambda kinds: comparison.compare_models(
+        train, test, "doc_id", ["toxic"], kinds, ("weight", "undersample"), num_folds=2, runs_dir=runs, num_features=1 << 10
+    ).collect()
+    first = go(("nb", "lr"))
+    made, keep = [], comparison.train_linear
+    monkeypatch.setattr(comparison, "train_linear", lambda *a: made.append(a[4]) or keep(*a))
+    monkeypatch.setattr(comparison, "train_all", lambda *a, **k: pytest.fail("a finished run was made again"))
+    again = go(("nb", "lr", "svm"))
+    assert made == ["svm"] and len(again) == 6
+    without_rank = lambda rows, kinds: sorted(tuple(r)[:-1] for r in rows if r.model in kinds)
+    assert without_rank(again, ("nb", "lr")) == without_rank(first, ("nb", "lr"))

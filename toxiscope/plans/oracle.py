@@ -320,6 +320,10 @@ def oracle_queries() -> dict[str, str]:
         "lr_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent, 0.0::DOUBLE AS violation {test_rows}",
         "svm_cv": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent, 0.0::DOUBLE AS violation {test_rows}",
         "mlp_word2vec": f"SELECT doc_id, {LABEL} AS label, TRUE AS consistent {test_rows}",
+        "mlp_weighted": " UNION ALL ".join(
+            f"SELECT doc_id, '{name}' AS name, {name} AS label, TRUE AS consistent "
+            f"FROM ({LABELLED}) WHERE u < {TEST_FRACTION} AND {name} IS NOT NULL" for name in ("toxic", "low_quality")
+        ),
         "mlp_embeddings": f"""SELECT vec_id, CAST(label AS INTEGER) AS label, TRUE AS consistent
             FROM embeddings WHERE {unit_hash_sql('vec_id', SPLIT_SEED)} < {TEST_FRACTION}""",
         "word2vec_docs": "SELECT doc_id, 100::BIGINT AS dims, 0.0::DOUBLE AS difference FROM documents",
