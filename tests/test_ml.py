@@ -224,6 +224,7 @@ def test_model_comparison_query_tunes_over_grid_and_folds(spark, monkeypatch):
     monkeypatch.setattr(comparison, "prepare_features", lambda *a, **k: (None, None, None))
     monkeypatch.setattr(comparison, "train_all", lambda *a, num_folds=None, **k: folds.append(num_folds) or {})
     monkeypatch.setattr(comparison, "train_linear", lambda *a: folds.append(a[-1]) or {})
+    monkeypatch.setattr(comparison, "train_networks", lambda *a: {})
     monkeypatch.setattr(spark.read.__class__, "parquet", lambda self, *a, **k: keep(self, *a, **k) if "/runs-" not in a[0] else None)
     monkeypatch.setattr(comparison, "ranked", lambda results: results)
     ml_queries.q_model_comparison(spark, "/root/testdata/sf0.001")

@@ -17,6 +17,7 @@ from toxiscope.functions.stopwords import english_stop_words
 from toxiscope.functions.text import tokens_digest
 from toxiscope.operators import balance, evaluate, features, profile
 from toxiscope.operators.naive_bayes import NBRun, nb_fit, nb_log_theta, nb_predict
+from toxiscope.operators.ranked_metrics import ranking_areas
 from toxiscope.operators.split import hash_split
 from toxiscope.operators.tuning import LR_FOLDS, SVM_FOLDS, grid_points, with_folds
 from toxiscope.plans import nb_comparison
@@ -189,6 +190,16 @@ def q_weighted_f1(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_ranking_areas(spark: SparkSession, d: str) -> DataFrame:
+    """Areas under the ROC and PR curves of the weighted NB's margin."""
+    scored = nb_test_predictions(spark, d).select("label", F.round("margin", 6).alias("score"))
+    areas = ranking_areas(scored)
+    return areas.select(
+        F.lit(MAIN_LABEL).alias("label"), "positives", "negatives", F.round("auc_roc", 6).alias("auc_roc"),
+        F.round("auc_pr", 6).alias("auc_pr"),
+    )
+
+
 def q_best_model(spark: SparkSession, d: str) -> DataFrame:
     train, test = split_parts(labelled_documents(spark, d))
     return nb_comparison.best_model(train, test, DRIVER_LABELS)
@@ -227,6 +238,7 @@ SQL_CHECKED: dict[str, Query] = {
     "confusion_matrix": q_confusion_matrix,
     "class_metrics": q_class_metrics,
     "weighted_f1": q_weighted_f1,
+    "ranking_areas": q_ranking_areas,
     "method_metrics": q_method_metrics,
     "best_model": q_best_model,
 }

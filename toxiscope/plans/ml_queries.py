@@ -115,8 +115,8 @@ def q_mlp_weighted(spark: SparkSession, d: str) -> DataFrame:
     check: probabilities sum to 1 and the prediction is the largest, per document and label."""
     train, test = _split(spark, d)
     _, train_f, test_f = prepare_features(train, test, KEY, DRIVER_LABELS, "word2vec")
-    found = train_networks(train_f, test_f, DRIVER_LABELS, KEY)
-    parts = [_checked(r.predictions, label, _softmax_check()).withColumn("name", F.lit(label)) for label, r in found.items()]
+    found = train_networks(train_f, test_f, [(label, "weight") for label in DRIVER_LABELS], KEY)
+    parts = [_checked(r.predictions, label, _softmax_check()).withColumn("name", F.lit(label)) for (label, _), r in found.items()]
     return reduce(DataFrame.unionByName, parts).select(KEY, "name", "label", "consistent")
 
 

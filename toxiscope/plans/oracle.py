@@ -302,6 +302,16 @@ def oracle_queries() -> dict[str, str]:
             SELECT '{LABEL}' AS label, class, metric, value FROM ({_long_metrics_sql('wide')})""",
         "weighted_f1": f"""{nb1}
             SELECT '{LABEL}' AS label, round(weighted_f1, 6) AS weighted_f1, round(f1_1, 6) AS f1_class1 FROM wide""",
+        "ranking_areas": f"""{nb1}, ranks AS (SELECT label, round(margin, 6) AS s FROM pred),
+              steps AS (SELECT s, sum(label) AS p, sum(1 - label) AS n FROM ranks GROUP BY s),
+              curve AS (SELECT p, n, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM steps WINDOW w AS (ORDER BY s DESC)),
+              pr AS (SELECT *, tp / (tp + fp)::DOUBLE AS prec,
+                       coalesce((lag(tp) OVER v) / nullif((lag(tp + fp) OVER v), 0)::DOUBLE, tp / (tp + fp)::DOUBLE) AS last
+                     FROM curve WINDOW v AS (ORDER BY tp + fp))
+            SELECT '{LABEL}' AS label, sum(p)::BIGINT AS positives, sum(n)::BIGINT AS negatives,
+              round((SELECT sum(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) / count(*)
+                     FROM ranks a, ranks b WHERE a.label = 1 AND b.label = 0)::DOUBLE, 6) AS auc_roc,
+              round(sum(p * (prec + last) / 2) / sum(p), 6) AS auc_pr FROM pr""",
         "method_metrics": f"""{nb_all}
             SELECT label_name AS label, method, class, metric, value FROM ({_long_metrics_sql('wide')})""",
         "best_model": f"""{nb_all}
