@@ -84,3 +84,11 @@ def test_salted_join_gives_the_same_rows(messy, monkeypatch):
 def test_main_path_has_no_python(documents):
     plan = mixed(documents)[1]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_helper_names_may_be_taken(spark):
+    rows = [(i, "a b c", "s", 1, 2) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_source int, _mix_slot int")
+    sizes = df.groupBy("source").agg(F.lit(18).cast("long").alias("size"))
+    out = mixing.mix(df, mixing.source_targets(sizes))
+    assert out.columns == df.columns and out.count() >= 6

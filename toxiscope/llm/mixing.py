@@ -95,16 +95,17 @@ def with_rates(docs: DataFrame, targets: DataFrame, source: str = "source") -> t
     n, width = targets.agg(
         F.count(F.lit(1)), F.max(F.coalesce(F.octet_length("source"), F.lit(0)))
     ).first()
-    right = targets.select(F.col("source").alias("_mix_source"), fields)
+    other, slot = free_name(docs, "_mix_source"), free_name(docs, "_mix_slot")
+    right = targets.select(F.col("source").alias(other), fields)
     small = broadcast_bounded(right, n, 64 + (width or 0))
     if small is not right:
-        return docs.join(small, docs[source].eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source"), info
+        return docs.join(small, docs[source].eqNullSafe(F.col(other)), "left").drop(other), info
     salts = 64
     salt = free_name(docs, "_mix_salt")
     left = docs.withColumn(salt, F.pmod(F.xxhash64(*docs.columns), F.lit(salts)))
-    right = right.withColumn("_mix_slot", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
-    on = (left[salt] == F.col("_mix_slot")) & left[source].eqNullSafe(F.col("_mix_source"))
-    return left.join(right, on, "left").drop("_mix_source", "_mix_slot", salt), info
+    right = right.withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
+    on = (left[salt] == F.col(slot)) & left[source].eqNullSafe(F.col(other))
+    return left.join(right, on, "left").drop(other, slot, salt), info
 
 
 def mix(
