@@ -56,3 +56,10 @@ def test_gradients_match_differences():
 def test_whole_text_counts():
     x, used = langid.windows_of(b"A" * (3 * langid.WINDOW + 5))
     assert x.shape == (4, langid.WINDOW) and used.tolist() == [langid.WINDOW] * 3 + [5] and (x[0] == 97).all()
+
+
+def test_every_language_is_in_the_sample(spark):
+    rows = [(i, f"text number {i} of language {i % 80}", f"l{i % 80:02d}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    _, labels = langid.training_sample(df)
+    assert len(set(labels)) == 80

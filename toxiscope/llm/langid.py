@@ -7,7 +7,8 @@ windows, weighted by their bytes, so the whole text counts.
 
 Training reads a bounded, documented sample: about ``DOCS_PER_LABEL`` labelled documents
 of each language (those with the least seeded hash) and ``WINDOWS_PER_DOC`` windows spread
-over each of them. At most ``MAX_LABELS`` languages are learned, the most frequent ones.
+over each of them. Every language is learned: with many of them the ``SAMPLE_DOCS`` documents
+that the sample holds on average are dealt over all.
 Prediction covers every row and the whole of each text, in batches of windows of fixed
 memory. For prediction the embedding and the filters are multiplied out into tables by
 byte pair, so a filter response is one to three additions.
@@ -33,7 +34,7 @@ UNKNOWN = "und"
 #: Bounds of the training sample.
 DOCS_PER_LABEL = 400
 WINDOWS_PER_DOC = 4
-MAX_LABELS = 64
+SAMPLE_DOCS = 25_600
 #: The network.
 WINDOW = 192
 EMBED = 8
@@ -165,9 +166,11 @@ def training_sample(
     """A bounded sample: rows whose seeded hash is below the share that gives ``per_label``
     rows of a language on average, at most twice that many."""
     known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = known.groupBy(F.col(label).alias("l")).count().orderBy(F.desc("count"), "l").limit(MAX_LABELS).collect()
+    sizes = known.groupBy(F.col(label).alias("l")).count()
+    counts = sizes.collect()  # one row a language
     if not counts:
         return [], []
+    per_label = max(1, min(per_label, SAMPLE_DOCS // len(counts)))
     u = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(key)), 11).cast("double") / F.lit(float(1 << 53))
     share = F.coalesce(*[F.when(F.col(label) == r["l"], min(1.0, per_label / r["count"])) for r in counts])
     rows = (
