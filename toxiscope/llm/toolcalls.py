@@ -43,8 +43,6 @@ TYPES = {
     "string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"),
     "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",), "null": ("VOID",),
 }
-#: A chain of waiting calls longer than this raises an error instead of looping on.
-MAX_ROUNDS = 500
 
 
 def problems(name: Column, arguments: Column, tools: dict[str, dict]) -> Column:
@@ -115,11 +113,12 @@ def _same(a: Column, b: Column) -> Column:
 
 def _relax(calls: DataFrame, waits: DataFrame) -> DataFrame:
     """``(event, at, hops, cycle)`` of calls that wait for a call of the same or a later turn,
-    or for such a call in turn. ``calls``: first calls; ``waits``: (event, on)."""
+    or for such a call in turn. ``calls``: first calls; ``waits``: (event, on). A round moves
+    one step, so there are as many rounds as the longest chain has calls."""
     key = lambda t, h: F.struct(t.alias("at"), h.alias("hops"))
     own = calls.select("event", "n_calls", key(F.coalesce("turn", F.lit(-1)), F.lit(0)).alias("key"))
     now = stored(own, "calls-order")
-    for _ in range(MAX_ROUNDS):
+    while True:  # ends: a round that changes nothing, and hops have a bound
         on = now.select(F.col("event").alias("on"), F.col("key").alias("dep"), F.col("n_calls").alias("most"))
         # a chain of waiting calls has fewer hops than the conversation has calls
         need = (
@@ -133,7 +132,6 @@ def _relax(calls: DataFrame, waits: DataFrame) -> DataFrame:
         now = new.drop("grew")
         if new.where("grew").isEmpty():
             return now.select("event", "key.at", "key.hops", (F.col("key.hops") > F.col("n_calls")).alias("cycle"))
-    raise ValueError(f"tool calls wait for each other over more than {MAX_ROUNDS} steps")
 
 
 def link_tool_calls(
