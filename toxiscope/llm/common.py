@@ -32,6 +32,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_tight(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stored` for large tables: zstd, and the shuffle files of the job go when it ends."""
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/toxiscope-llm/{name}-{uuid.uuid4().hex[:12]}"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete a table written by :func:`stored` that no later plan reads."""
     spark = df.sparkSession

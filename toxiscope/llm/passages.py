@@ -28,13 +28,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from toxiscope.llm.common import free_name, spread_rows, stored
+from toxiscope.llm.common import drop_stored, free_name, spread_rows, stored, stored_tight
 from toxiscope.llm.components import connected_components
 
 #: Production parameters.
@@ -45,6 +46,7 @@ BAND_ROWS = 3
 MIN_UNIT = 8
 MIN_PASSAGE = 20
 BLOCK = 256
+WAVE = 4
 SEED = 8
 
 BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -94,16 +96,60 @@ def paragraphs_of(words: list[int], min_unit: int) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _cut_batch(texts: list, min_unit: int) -> tuple[np.ndarray, dict[str, np.ndarray], list, list]:
+    """The paragraphs of some texts: text number, columns, uids, and the first body of each uid."""
+    import xxhash
+
+    begin, end, size, before, here, after = [], [], [], [], [], []  # of every unit
+    which, first, last, uid, body, seen = [], [], [], [], [], set()
+    for i, text in enumerate(texts):
+        low = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
+        cut = [(x, y, got) for x, y in units(low) if (got := low[x:y].encode("utf-8", "surrogatepass").split())]
+        sizes = [len(u[2]) for u in cut]
+        words = [w for u in cut for w in u[2]]
+        upto = [0, *accumulate(sizes)]
+        reach = [len(cut)] * (len(cut) + 1)
+        for p in range(len(cut) - 1, -1, -1):
+            reach[p] = p if sizes[p] >= min_unit else reach[p + 1]
+        base = len(begin)
+        begin += [u[0] for u in cut]
+        end += [u[1] for u in cut]
+        size += sizes
+        before += upto[:-1]
+        here += reach[:-1]
+        after += reach[1:]
+        for p, q in paragraphs_of(sizes, min_unit):
+            joined = b" ".join(words[upto[p] : upto[q + 1]])
+            u = xxhash.xxh64_intdigest(joined, SEED)
+            exact = p < q and reach[p] <= q
+            body.append(None if exact or u in seen else joined)
+            if not exact:
+                seen.add(u)
+            which.append(i)
+            first.append(base + p)
+            last.append(base + q)
+            uid.append(u)
+    begin, end, size, before, here, after = (np.array(x, np.int64) for x in (begin, end, size, before, here, after))
+    p, q = np.array(first, np.int64), np.array(last, np.int64)
+    offset = np.zeros(len(begin), np.int64)  # unit number within its text
+    starts = np.flatnonzero(before == 0)
+    offset[starts] = np.diff(np.concatenate([[0], starts]))
+    place = np.arange(len(begin)) - np.cumsum(offset)
+    cols = {
+        "place": place[p], "last": place[q], "reach": after[q], "start": begin[p], "end": end[q], "before": before[p],
+        "words": before[q] + size[q] - before[p],
+    }
+    return np.array(which, np.int32), cols, uid, body
+
+
 def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: int) -> DataFrame:
-    """``(row, id, place, last, reach, start, end, before, words, exact, uid, body)`` of the paragraphs.
+    """``(row, id, place, last, reach, start, end, before, words, uid, body)`` of the paragraphs.
 
     ``place`` and ``last`` are the first and the last unit, ``reach`` the next unit of ``min_unit``
     words (only shorter ones lie between), ``before`` the words of the document up to here;
-    ``exact`` marks short units joined to a long one.
+    ``body`` is null where short units are joined to a long one, and where a paragraph of the same
+    batch holds it.
     """
-    import xxhash
-
-    fields = ["row", "id", "place", "last", "reach", "start", "end", "before", "words", "exact", "uid", "body"]
     ident = F.col(row) if row else F.monotonically_increasing_id()
     slim = spread_rows(docs.select(F.col(key).alias("id"), F.col(text).alias("text"), *([F.col(row)] if row else [])))
     slim = slim.select(ident.alias("row"), "id", "text")
@@ -113,38 +159,24 @@ def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: i
         for big in batches:
             for first in range(0, big.num_rows, 512):
                 b = big.slice(first, 512)
-                out, which = [], []
-                for i, t in enumerate(b.column(2)):
-                    text = t.as_py() or ""
-                    cut = [(begin, end, text[begin:end].encode("utf-8", "surrogatepass").lower().split()) for begin, end in units(text)]
-                    cut = [u for u in cut if u[2]]
-                    sizes = [len(u[2]) for u in cut]
-                    upto = np.concatenate([[0], np.cumsum(sizes)]).astype(int).tolist()
-                    reach = [len(cut)] * (len(cut) + 1)
-                    for p in range(len(cut) - 1, -1, -1):
-                        reach[p] = p if sizes[p] >= min_unit else reach[p + 1]
-                    for p, q in paragraphs_of(sizes, min_unit):
-                        body = b" ".join(w for u in cut[p : q + 1] for w in u[2])
-                        exact = p < q and reach[p] <= q
-                        uid = xxhash.xxh64_intdigest(body, SEED)
-                        out.append((p, q, reach[q + 1], cut[p][0], cut[q][1], upto[p], upto[q + 1] - upto[p], exact, uid, body))
-                        which.append(i)
-                cols = list(zip(*out)) or [()] * 10
-                kept = [c.take(pa.array(which, pa.int32())) for c in b.columns[:2]]
-                kinds = [*[pa.int32()] * 5, pa.int64(), pa.int32(), pa.bool_()]
-                data = [pa.array(c, k) for c, k in zip(cols[:8], kinds)]
-                uid = pa.array(np.array(cols[8], np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*kept, *data, uid, pa.array(cols[9], pa.binary()).cast(pa.string())], fields)
+                which, cols, uid, body = _cut_batch([t.as_py() or "" for t in b.column(2)], min_unit)
+                kept = [c.take(pa.array(which)) for c in b.columns[:2]]
+                data = [pa.array(c if n == "before" else c.astype(np.int32)) for n, c in cols.items()]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, *data, pa.array(np.array(uid, np.uint64).view(np.int64)),
+                     pa.array(body, pa.binary()).cast(pa.string())],
+                    ["row", "id", *cols, "uid", "body"],
+                )
 
     schema = (
         f"row long, id {id_type}, place int, last int, reach int, start int, end int, before long, words int, "
-        "exact boolean, uid long, body string"
+        "uid long, body string"
     )
     return slim.mapInArrow(run, schema)
 
 
-def band_keys(bodies: list[bytes], bands: int, rows: int, shingle: int = SHINGLE) -> np.ndarray:
-    """One 64-bit key per band of each body; equal minima give equal keys."""
+def band_keys(bodies: list[bytes], bands: int, rows: int, shingle: int = SHINGLE, some: range | None = None) -> np.ndarray:
+    """One 64-bit key per band (of ``some``) of each body; equal minima give equal keys."""
     import xxhash
 
     h = xxhash.xxh64_intdigest
@@ -159,27 +191,28 @@ def band_keys(bodies: list[bytes], bands: int, rows: int, shingle: int = SHINGLE
     rng = np.random.default_rng(SEED)
     a = rng.integers(1, 1 << 63, bands * rows, np.uint64) | np.uint64(1)
     b = rng.integers(0, 1 << 63, bands * rows, np.uint64)
-    keys = np.zeros((len(bodies), bands), np.uint64)
+    some = range(bands) if some is None else some
+    keys = np.zeros((len(bodies), len(some)), np.uint64)
     with np.errstate(over="ignore"):
-        for j in range(bands * rows):
-            y = x * a[j] + b[j]
-            y ^= y >> np.uint64(29)
-            low = np.minimum.reduceat(y, first)
-            k = j // rows
-            keys[:, k] = (keys[:, k] + low + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
-            keys[:, k] ^= keys[:, k] >> np.uint64(31)
+        for k, band in enumerate(some):
+            for j in range(band * rows, (band + 1) * rows):
+                y = x * a[j] + b[j]
+                y ^= y >> np.uint64(29)
+                low = np.minimum.reduceat(y, first)
+                keys[:, k] = (keys[:, k] + low + np.uint64(band + 1)) * np.uint64(0x9E3779B97F4A7C15)
+                keys[:, k] ^= keys[:, k] >> np.uint64(31)
     return keys.view(np.int64)
 
 
-def _bands_of(paragraphs: DataFrame, bands: int, rows: int) -> DataFrame:
+def _bands_of(paragraphs: DataFrame, bands: int, rows: int, some: range) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for first in range(0, big.num_rows, 4096):
                 b = big.slice(first, 4096)
-                keys = band_keys(b.column(2).cast(pa.binary()).to_pylist(), bands, rows)
+                keys = band_keys(b.column(2).cast(pa.binary()).to_pylist(), bands, rows, some=some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), bands)),
-                     pa.array(np.repeat(b.column(1).to_numpy(), bands))], ["key", "uid", "n"],
+                    [pa.array(keys.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), len(some))),
+                     pa.array(np.repeat(b.column(1).to_numpy(), len(some)))], ["key", "uid", "n"],
                 )
 
     return paragraphs.select("uid", "n", "body").mapInArrow(run, "key long, uid long, n long")
@@ -217,14 +250,22 @@ def block_links(uids: list, labels: list, bodies: list[str], threshold: float) -
     """Spanning-forest links of the pairs of different labels at or above the threshold."""
     if len(set(labels)) < 2:
         return []
-    names: dict[str, int] = {}
-    sets = [[names.setdefault(g, len(names)) for g in shingle_set(body)] for body in bodies]
-    m = np.zeros((len(uids), len(names)), np.float32)
-    for i, s in enumerate(sets):
-        m[i, s] = 1
-    both = m @ m.T
-    size = m.sum(1)
-    union = size[:, None] + size - both  # whole numbers, exact
+    held: dict[str, list[int]] = {}
+    size = np.zeros(len(uids))
+    for i, body in enumerate(bodies):
+        grams = shingle_set(body)
+        size[i] = len(grams)
+        for g in grams:
+            held.setdefault(g, []).append(i)
+    shared = [rows for rows in held.values() if len(rows) > 1]
+    both = np.zeros((len(uids), len(uids)), np.float32)
+    for first in range(0, len(shared), 4096):  # whole numbers, exact; memory bounded by the block
+        part = shared[first : first + 4096]
+        m = np.zeros((len(uids), len(part)), np.float32)
+        for k, rows in enumerate(part):
+            m[rows, k] = 1
+        both += m @ m.T
+    union = size[:, None] + size - both
     near = both >= threshold * union.astype(float) - 1e-6
     group = {v: v for v in labels}
 
@@ -273,22 +314,28 @@ def similar_links(paragraphs: DataFrame, threshold: float, recall: float, rows:
     ``paragraphs``: a stored table ``(uid, n, body)``, one row per different paragraph.
     """
     bands = tune_bands(threshold, recall, rows)
-    keyed = _bands_of(paragraphs, bands, rows)
-    star = stored(
-        keyed.repartition("key").sortWithinPartitions("key", F.desc("n"), "uid").select("key", "uid")
-        .mapInArrow(_stars, "key long, centre long, uid long"),
-        "passage-stars",
-    )
+    # the bands go in waves, so that only a part of their rows lies in shuffle files at once
+    star, waves = None, []
+    for at in range(0, bands, WAVE):
+        keyed = _bands_of(paragraphs, bands, rows, range(at, min(at + WAVE, bands)))
+        waves.append(stored_tight(
+            keyed.repartition("key").sortWithinPartitions("key", F.desc("n"), "uid").select("key", "uid")
+            .mapInArrow(_stars, "key long, centre long, uid long"),
+            "passage-stars",
+        ))
+        star = waves[-1] if star is None else star.unionByName(waves[-1])
     body = paragraphs.select("uid", "body")
     asked = star.select("centre", "uid").distinct()
     with_body = asked.join(body.withColumnsRenamed({"uid": "centre", "body": "x"}), "centre").join(body, "uid")
-    first = stored(with_body.select("centre", "uid", "x", "body").mapInArrow(_verified(threshold), "src long, dst long"), "passage-links")
+    first = stored_tight(
+        with_body.select("centre", "uid", "x", "body").mapInArrow(_verified(threshold), "src long, dst long"), "passage-links"
+    )
     part = stored(connected_components(first), "passage-parts")
     label = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"{c}_label"))
-    # a bucket in one component is settled; in the others every pair of two components is open
-    members = star.select("key", "uid").unionByName(star.select("key", F.col("centre").alias("uid")).distinct())
-    left = stored(
-        members.join(label("uid"), "uid", "left").select("key", "uid", F.coalesce("uid_label", "uid").alias("label")),
+    # every row is compared with its bucket's centre, so only pairs of the others can be open, and
+    # of these only pairs of two components: a bucket of two rows or of one component is settled
+    left = stored_tight(
+        star.join(label("uid"), "uid", "left").select("key", "uid", F.coalesce("uid_label", "uid").alias("label")),
         "passage-open",
     )
     sizes = left.groupBy("key").agg(
@@ -304,6 +351,9 @@ def similar_links(paragraphs: DataFrame, threshold: float, recall: float, rows:
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         .mapInArrow(_open_pairs(threshold), "src long, dst long")
     )
+    second = stored_tight(second, "passage-open-links")
+    for table in (*waves, part, left):
+        drop_stored(table)
     return first.unionByName(second)
 
 
@@ -316,25 +366,27 @@ def repeated_passages(
     ``start`` and ``length`` are code points; ``cluster_id`` is the cluster of the passage's
     first paragraph; ``removed`` is false where the passage is the first occurrence.
     """
-    # two passes over the text: places without bodies, and each different body once
-    cut = stored(cut_units(docs, key, text, row, min_unit).drop("body", "exact"), "passage-units")
-    paragraphs = stored(
-        cut_units(docs, key, text, row, min_unit)
-        .select("uid", F.when(~F.col("exact"), F.col("body")).alias("body"))
-        .groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("body"))
+    cut = stored_tight(cut_units(docs, key, text, row, min_unit), "passage-units")
+    paragraphs = stored_tight(
+        cut.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("body"))
         .where("n > 1 or body is not null"), "passage-texts",
     )
     links = similar_links(paragraphs.where("body is not null"), threshold, recall, band_rows)
     part = stored(connected_components(links), "passage-clusters")
-    cluster = (
+    # stored, so that the next join knows its size and can split a paragraph that many documents share
+    cluster = stored_tight(
         paragraphs.select("uid", "n").join(part.withColumnRenamed("node", "uid"), "uid", "left")
         .where("n > 1 or component is not null")
-        .select("uid", F.coalesce("component", "uid").alias("cluster"))
+        .select("uid", F.coalesce("component", "uid").alias("cluster")), "passage-members",
     )
-    found = stored(cut.join(cluster, "uid"), "passage-found")
+    for table in (links, part, paragraphs):
+        drop_stored(table)
+    found = stored_tight(cut.drop("body").join(cluster, "uid"), "passage-found")
+    for table in (cut, cluster):
+        drop_stored(table)
     place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"), F.col("place"), F.col("last"))
     # stored, so that the join shuffles both sides and can split a hot cluster
-    first = stored(found.groupBy("cluster").agg(F.min(place).alias("first")), "passage-first")
+    first = stored_tight(found.groupBy("cluster").agg(F.min(place).alias("first")), "passage-first")
     marked = found.join(first, "cluster").withColumn(
         "removed", (F.col("row") != F.col("first.row")) | (F.col("place") > F.col("first.last"))
     ).drop("first", "uid")
