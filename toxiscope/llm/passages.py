@@ -175,19 +175,30 @@ def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: i
     return slim.mapInArrow(run, schema)
 
 
-def band_keys(bodies: list[bytes], bands: int, rows: int, shingle: int = SHINGLE, some: range | None = None) -> np.ndarray:
-    """One 64-bit key per band (of ``some``) of each body; equal minima give equal keys."""
+def gram_hashes(bodies: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all bodies in a row (word hashes combined), and where each body's begin."""
     import xxhash
 
-    h = xxhash.xxh64_intdigest
-    grams, sizes = [], []
-    for body in bodies:
-        words = body.split(b" ")
-        got = [h(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))]
-        grams += got
-        sizes.append(len(got))
-    x = np.array(grams, np.uint64)
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    flat = b" ".join(bodies).split(b" ")
+    words = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
+    sizes = np.array([body.count(b" ") + 1 for body in bodies], np.int64)
+    ends = np.cumsum(sizes)
+    grams = np.maximum(sizes - shingle + 1, 1)
+    first = np.cumsum(grams) - grams
+    at = np.arange(grams.sum()) + np.repeat(ends - sizes - first, grams)  # first word of every shingle
+    end = np.repeat(ends, grams)
+    x = np.ones(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for _ in range(shingle):
+            x = np.where(at < end, x * np.uint64(0x9E3779B97F4A7C15) + words[np.minimum(at, len(words) - 1)], x)
+            at += 1
+        x ^= x >> np.uint64(32)
+    return x, first
+
+
+def band_keys(bodies: list[bytes], bands: int, rows: int, shingle: int = SHINGLE, some: range | None = None) -> np.ndarray:
+    """One 64-bit key per band (of ``some``) of each body; equal minima give equal keys."""
+    x, first = gram_hashes(bodies, shingle)
     rng = np.random.default_rng(SEED)
     a = rng.integers(1, 1 << 63, bands * rows, np.uint64) | np.uint64(1)
     b = rng.integers(0, 1 << 63, bands * rows, np.uint64)
@@ -324,7 +335,9 @@ def similar_links(paragraphs: DataFrame, threshold: float, recall: float, rows:
             "passage-stars",
         ))
         star = waves[-1] if star is None else star.unionByName(waves[-1])
-    body = paragraphs.select("uid", "body")
+    # the bodies that any comparison needs, fetched once: the joins below move these alone
+    met = star.select("uid").unionByName(star.select(F.col("centre").alias("uid"))).distinct()
+    body = stored_tight(paragraphs.select("uid", "body").join(met, "uid", "left_semi"), "passage-bodies")
     asked = star.select("centre", "uid").distinct()
     with_body = asked.join(body.withColumnsRenamed({"uid": "centre", "body": "x"}), "centre").join(body, "uid")
     first = stored_tight(
@@ -352,7 +365,7 @@ def similar_links(paragraphs: DataFrame, threshold: float, recall: float, rows:
         .mapInArrow(_open_pairs(threshold), "src long, dst long")
     )
     second = stored_tight(second, "passage-open-links")
-    for table in (*waves, part, left):
+    for table in (*waves, body, part, left):
         drop_stored(table)
     return first.unionByName(second)
 
