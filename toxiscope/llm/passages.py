@@ -13,7 +13,8 @@ A bucket's paragraphs are compared with its most frequent one (a star, linear in
 bucket) by exact Jaccard similarity of the shingle sets. Pairs that the stars leave open
 (in one bucket, but not yet in one component) are compared in blocks of bounded size, and
 only the links of a spanning forest leave a block; so no colliding pair at the threshold
-is lost and nothing quadratic is written. Clusters are connected components.
+is lost. A bucket of m open rows goes to m / ``BLOCK`` blocks a row. Clusters are connected
+components.
 
 A passage is a run of clustered paragraphs that meet (shorter units between them belong to it) of at
 least ``MIN_PASSAGE`` words. The first occurrence of each cluster in the order of documents
