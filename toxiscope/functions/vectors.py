@@ -48,3 +48,29 @@ def vector_stats(df: DataFrame, vec_col: str, keep_cols: list[str]) -> DataFrame
             yield pa.RecordBatch.from_pydict(cols)
 
     return df.select(*keep_cols, vec_col).mapInArrow(summarize, ddl)
+
+
+def vector_entries(df: DataFrame, vec_col: str, key: str) -> DataFrame:
+    """``key, index int, value double`` of every non-zero entry (a null vector has none)."""
+
+    def entries(batches):
+        for b in batches:
+            vec = b.column(vec_col)
+            values, indices = vec.field("values"), vec.field("indices")
+            dense = pc.equal(vec.field("type"), 1).fill_null(False).to_numpy(zero_copy_only=False)
+            n = pc.list_value_length(values).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            n[~vec.is_valid().to_numpy(zero_copy_only=False)] = 0
+            row = np.repeat(np.arange(len(n)), n)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)  # place within the row
+            own = ~dense[row]
+            sparse = np.flatnonzero(~dense & (n > 0))
+            at[own] = indices.take(pa.array(sparse)).flatten().to_numpy(zero_copy_only=False)
+            flat = values.take(pa.array(np.flatnonzero(n > 0))).flatten().to_numpy(zero_copy_only=False)
+            kept = flat != 0
+            yield pa.RecordBatch.from_arrays(
+                [b.column(key).take(pa.array(row[kept])), pa.array(at[kept].astype(np.int32)), pa.array(flat[kept])],
+                [key, "index", "value"],
+            )
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, vec_col).mapInArrow(entries, f"`{key}` {kind}, index int, value double")

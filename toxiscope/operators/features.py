@@ -63,7 +63,8 @@ def text_stages(
     """F8: Tokenizer → StopWordsRemover → featurizer, as one (unfitted) ``Pipeline``.
 
     ``kind``: ``hashing`` (raw hashed term counts, the reference's default),
-    ``counts`` (exact vocabulary), ``tfidf`` (hashed counts × IDF), ``word2vec``
+    ``terms`` (exact vocabulary, held as a table), ``counts`` (the same by Spark's count
+    vectorizer, vocabulary on the driver; for streams), ``tfidf`` (hashed counts × IDF), ``word2vec``
     (document = mean of word vectors, trained on ``w2v_partitions`` partitions).
     """
     tok = Tokenizer(inputCol=input_col, outputCol="words")
@@ -72,6 +73,11 @@ def text_stages(
     )
     if kind == "hashing":
         last = [HashingTF(inputCol="stopWordFilter", outputCol=features_col, numFeatures=num_features)]
+    elif kind == "terms":
+        from toxiscope.operators.term_vectors import TermVectors
+
+        kept = 0 if vocab_size >= UNCAPPED else vocab_size
+        last = [TermVectors(inputCol="stopWordFilter", outputCol=features_col, vocabSize=kept, minDF=min_df)]
     elif kind == "counts":
         last = [
             CountVectorizer(inputCol="stopWordFilter", outputCol=features_col, vocabSize=vocab_size, minDF=min_df)

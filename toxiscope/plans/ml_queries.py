@@ -58,7 +58,7 @@ def _softmax_check():
 def q_nb_ml(spark: SparkSession, d: str) -> DataFrame:
     """M1 with Spark ML: exact counts + weighted multinomial NB; margin = raw[1] − raw[0]."""
     train, test = _split(spark, d)
-    _, train_f, test_f = prepare_features(train, test, KEY, [LABEL], "counts")
+    _, train_f, test_f = prepare_features(train, test, KEY, [LABEL], "terms")
     model = make_classifier("nb", LABEL, weight_col=WEIGHT_COL).fit(class_weights(train_f, LABEL))
     raw = vector_to_array(F.col("rawPrediction"))
     return model.transform(test_f).select(
@@ -69,6 +69,18 @@ def q_nb_ml(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_term_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """F4 as ML vectors: ``doc_id, term_index, tf`` of every entry, over the vocabulary of all
+    documents, read out of the vector column."""
+    from toxiscope.functions.vectors import vector_entries
+    from toxiscope.plans.prepared import cleaned_documents
+
+    _, docs = fit_stages(text_stages("terms"), cleaned_documents(spark, d), [KEY])
+    return vector_entries(docs, "features", KEY).select(
+        KEY, F.col("index").cast("long").alias("term_index"), F.col("value").cast("long").alias("tf")
+    )
+
+
 def _proven(preds: DataFrame, label: str, check, violation: float) -> DataFrame:
     """Like :func:`_checked`, with the fit's largest violation, to three digits."""
     return _checked(preds, label, check).withColumn("violation", F.lit(round(violation, 3) + 0.0))
@@ -176,13 +188,13 @@ def q_score_multilabel(spark: SparkSession, d: str) -> DataFrame:
     """M8–M10 + S5–S7: one weighted NB per label on exact counts, saved and re-loaded, then
     every conversation turn scored for all labels in one wide plan."""
     train, test = _split(spark, d)
-    fm, train_f, test_f = prepare_features(train, test, KEY, DRIVER_LABELS, "counts")
+    fm, train_f, test_f = prepare_features(train, test, KEY, DRIVER_LABELS, "terms")
     results = train_all(train_f, test_f, DRIVER_LABELS, KEY, "nb", "weight")
     base = scratch_path(spark, "models")
-    model_io.save_model(fm, model_io.features_path(base, "counts"))
+    model_io.save_model(fm, model_io.features_path(base, "terms"))
     model_io.save_label_models({label: r.model for label, r in results.items()}, base, "nb")
     loaded = model_io.load_label_models(base, "nb", DRIVER_LABELS)
-    feats = model_io.load_features(spark, base, "counts").transform(message_frame(spark, d))
+    feats = model_io.load_features(spark, base, "terms").transform(message_frame(spark, d))
     drop_path(spark, base)  # loaded models are in memory
     scored = score_labels(feats, loaded, "message_id")
     return scored.withColumn("probability", F.round("probability", 4))
@@ -216,6 +228,7 @@ def q_stream_score(spark: SparkSession, d: str) -> DataFrame:
 
 ML_QUERIES = {
     "nb_ml": q_nb_ml,
+    "term_vectors": q_term_vectors,
     "lr_cv": q_lr_cv,
     "svm_cv": q_svm_cv,
     "mlp_word2vec": q_mlp_word2vec,

@@ -251,6 +251,9 @@ def oracle_queries() -> dict[str, str]:
                                       FROM (SELECT doc_id, unnest(tokens) AS term FROM ({DOC_TOKENS}))
                                       GROUP BY doc_id, term)
                                 GROUP BY term)""",
+        "term_vectors": f"""{_ctes(tc=f"SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM ({DOC_TOKENS})) GROUP BY doc_id, term",
+                                   vocab="SELECT term, (row_number() OVER (ORDER BY sum(tf) DESC, term ASC) - 1)::BIGINT AS term_index FROM tc GROUP BY term")}
+                     SELECT tc.doc_id, vocab.term_index, tc.tf FROM tc JOIN vocab ON tc.term = vocab.term""",
         "tfidf": f"""{_ctes(tc=f"SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM ({DOC_TOKENS})) GROUP BY doc_id, term",
                             dfq="SELECT term, count(*) AS doc_freq FROM tc GROUP BY term",
                             nd="SELECT count(*) AS n FROM documents")}
