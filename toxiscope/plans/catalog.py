@@ -200,6 +200,16 @@ def q_ranking_areas(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_calibrated_probability(spark: SparkSession, d: str) -> DataFrame:
+    """Isotonic probability of the weighted NB's margin, fitted on the test documents."""
+    from toxiscope.operators.calibration import calibrate, fit_calibration
+    from toxiscope.session import cut_lineage
+
+    scored = cut_lineage(nb_test_predictions(spark, d).select("doc_id", "label", F.round("margin", 6).alias("score")))
+    found = calibrate(scored, fit_calibration(scored))
+    return found.select("doc_id", "label", F.round("probability", 6).alias("probability"))
+
+
 def q_best_model(spark: SparkSession, d: str) -> DataFrame:
     train, test = split_parts(labelled_documents(spark, d))
     return nb_comparison.best_model(train, test, DRIVER_LABELS)
@@ -239,6 +249,7 @@ SQL_CHECKED: dict[str, Query] = {
     "class_metrics": q_class_metrics,
     "weighted_f1": q_weighted_f1,
     "ranking_areas": q_ranking_areas,
+    "calibrated_probability": q_calibrated_probability,
     "method_metrics": q_method_metrics,
     "best_model": q_best_model,
 }

@@ -315,6 +315,17 @@ def oracle_queries() -> dict[str, str]:
               round((SELECT sum(CASE WHEN a.s > b.s THEN 1.0 WHEN a.s = b.s THEN 0.5 ELSE 0 END) / count(*)
                      FROM ranks a, ranks b WHERE a.label = 1 AND b.label = 0)::DOUBLE, 6) AS auc_roc,
               round(sum(p * (prec + last) / 2) / sum(p), 6) AS auc_pr FROM pr""",
+        # isotonic regression by its min-max form: the largest, over all begins, of the least share
+        "calibrated_probability": f"""{nb1}, ranks AS (SELECT doc_id, label, round(margin, 6) AS s FROM pred),
+              steps AS (SELECT s, sum(label) AS p, count(label) AS n, row_number() OVER (ORDER BY s) AS i
+                        FROM ranks WHERE label IS NOT NULL GROUP BY s),
+              sums AS (SELECT i, s, p, n, sum(p) OVER (ORDER BY i) AS tp, sum(n) OVER (ORDER BY i) AS tn FROM steps),
+              least AS (SELECT k.i, min((k.tp - j.tp + j.p) / (k.tn - j.tn + j.n)::DOUBLE)
+                                      OVER (PARTITION BY j.i ORDER BY k.i DESC) AS share
+                        FROM sums j JOIN sums k ON j.i <= k.i),
+              fitted AS (SELECT i, max(share) AS probability FROM least GROUP BY i)
+            SELECT doc_id, label, round(probability, 6) AS probability
+            FROM ranks LEFT JOIN steps ON ranks.s = steps.s LEFT JOIN fitted ON steps.i = fitted.i""",
         "method_metrics": f"""{nb_all}
             SELECT label_name AS label, method, class, metric, value FROM ({_long_metrics_sql('wide')})""",
         "best_model": f"""{nb_all}
