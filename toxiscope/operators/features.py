@@ -26,7 +26,7 @@ from toxiscope.functions.text import remove_stop_words, tokenize
 from toxiscope.operators.ranking import global_index
 from toxiscope.operators.term_join import join_terms, table_bytes
 from toxiscope.schema import TEXT_COL
-from toxiscope.session import cut_lineage
+from toxiscope.session import cut_lineage, store_table
 
 DEFAULT_NUM_FEATURES = 1 << 18  # HashingTF default (262,144 buckets)
 
@@ -122,7 +122,9 @@ def fit_stages(
     now = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(text))
     for stage in prepare:
         now = stage.transform(now)
-    tokens = cut_lineage(now.select(*keep, prepare[-1].getOutputCol()))
+    tokens = now.select(*keep, prepare[-1].getOutputCol())
+    is_table = getattr(featurizer, "vocabulary_is_table", False)
+    tokens = store_table(tokens, "tokens") if is_table else cut_lineage(tokens)
     fitted = featurizer.fit(tokens) if hasattr(featurizer, "fit") else featurizer
     if isinstance(featurizer, Pipeline):  # a featurizer of two steps
         fitted = fitted.stages

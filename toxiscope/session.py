@@ -61,6 +61,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as compressed Parquet to the shared folder and read it back.
+
+    For wide rows such as token arrays, of which a checkpoint takes a multiple of the text.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition ``df`` by ``key`` when the scan gives fewer partitions than cores.
 
