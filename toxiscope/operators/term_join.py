@@ -42,4 +42,5 @@ def join_terms(
     hot, rest = terms.where(is_hot), terms.where(~is_hot)
     names = F.broadcast(hot.select("term"))
     cold_rows = rows.join(names, "term", "left_anti")
-    return rows.join(F.broadcast(hot), "term").unionByName(cold_rows.join(rest, "term"))
+    # the terms of a partition are a hash table: neither side is sorted
+    return rows.join(F.broadcast(hot), "term").unionByName(cold_rows.join(rest.hint("shuffle_hash"), "term"))
