@@ -264,3 +264,17 @@ def test_model_comparison_restart_makes_only_what_is_missing(spark, separable, m
     assert made == ["svm"] and len(again) == 6
     without_rank = lambda rows, kinds: sorted(tuple(r)[:-1] for r in rows if r.model in kinds)
     assert without_rank(again, ("nb", "lr")) == without_rank(first, ("nb", "lr"))
+
+
+def test_stream_of_one_row_group_is_scored_by_many_tasks(spark, tmp_path, monkeypatch):
+    import shutil
+
+    from toxiscope.streaming import scoring
+
+    for name in ("documents", "labels"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", f"{tmp_path}/{name}.parquet")
+    plans, start = [], scoring.start_scoring
+    monkeypatch.setattr(scoring, "start_scoring", lambda s, *a, **k: plans.append(s._jdf.queryExecution().logical().toString()) or start(s, *a, **k))
+    found = scoring.stream_score_documents(spark, str(tmp_path)).collect()
+    assert "RepartitionByExpression [doc_id" in plans[0]
+    assert len(found) == 2 and all(r["rows"] == r["equal_to_batch"] > 0 for r in found)

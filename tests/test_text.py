@@ -45,3 +45,23 @@ def test_clean_text_rule(spark):
     df = spark.createDataFrame([(raw,), (None,), ("",)], "t string")
     out = [r[0] for r in df.select(clean_text("t")).collect()]
     assert out == ["dan drops his wrappedarray stores l'été", None, ""]
+
+
+def test_clean_text_equals_its_rule_step_by_step(spark):
+    import re
+
+    texts = ["see HTTPS://a.b/c d", "www.x y", "Www. www", "a @Me_1 b@c @ d", "http:/x httpx", "RT rt x", "don't ÀB́c 漢字 ١٢ x2y", "ftp://q", " a\nb"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def rule(t):
+        import unicodedata
+
+        t = re.sub(r"(https?://|www\.)[^ \t\n\x0B\f\r]*", " ", t.lower())
+        t = re.sub(r"@[a-z0-9_]+", " ", t)
+        t = "".join(c if c == "'" or unicodedata.category(c)[0] in "LM" else " " for c in t)
+        return re.sub(r" (rt )+", " ", " " + re.sub(" +", " ", t) + " ").strip(" ") if t.strip(" ") else ""
+
+    def spaced(t):
+        return re.sub(" +", " ", t)
+
+    assert [r[0] for r in df.select(clean_text("t")).collect()] == [spaced(rule(t)) for t in texts]

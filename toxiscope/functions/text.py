@@ -21,7 +21,7 @@ NOT_WS = r"[^ \t\n\x0B\f\r]"
 # Fixed values for our cleaning rule (see clean_text).
 URL_PATTERN = r"(https?://|www\.)" + NOT_WS + "*"
 MENTION_PATTERN = r"@[a-z0-9_]+"
-NON_LETTER_PATTERN = r"[^\p{L}\p{M}']+"
+NON_LETTER_PATTERN = r"[^a-z\p{L}\p{M}']+"  # a-z are letters; named, they need no lookup
 RETWEET_PATTERN = r" (rt )+"
 
 
@@ -35,9 +35,11 @@ def clean_text(text: str | Column) -> Column:
     lower-case → drop URLs → drop @mentions → every run of other than letters, their
     combining marks and apostrophes becomes one space → drop retweet markers ``rt`` → trim. Null stays null.
     """
-    x = F.lower(_col(text))
-    x = F.regexp_replace(x, URL_PATTERN, " ")
-    x = F.regexp_replace(x, MENTION_PATTERN, " ")
+    low = F.lower(_col(text))
+    # a byte search finds the texts that can hold a URL or a mention; only these are matched
+    marked = F.contains(low, F.lit("http")) | F.contains(low, F.lit("www.")) | F.contains(low, F.lit("@"))
+    x = F.regexp_replace(F.regexp_replace(low, URL_PATTERN, " "), MENTION_PATTERN, " ")
+    x = F.when(marked, x).otherwise(low)
     x = F.regexp_replace(x, NON_LETTER_PATTERN, " ")
     x = F.regexp_replace(F.concat(F.lit(" "), x, F.lit(" ")), RETWEET_PATTERN, " ")
     return F.trim(x)

@@ -79,16 +79,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     single task. The hash partitioning on ``key`` satisfies later ``groupBy(key, …)``
     and joins on ``key`` between frames spread this way without another exchange.
     """
+    n = spread_partitions(df)
+    return df.repartition(n, key) if n else df
+
+
+def spread_partitions(df: DataFrame) -> int | None:
+    """Partitions that :func:`spread` deals ``df`` out to; None when it is left alone."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
-        return df
+        return None
     # CPU-bound text work wants about two tasks per core, not the session's shuffle
     # partition number (often 200 for a few thousand rows); aggregations on the key
     # accept any partition count, and joins whose sides both come from here line up
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
-    return df.repartition(max(1, n), key)
-
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores))
 
 
 #: Least and usual bytes of a partition that an iterative estimator reads again and again.

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from toxiscope.functions.text import clean_text
 from toxiscope.operators.score import score_labels
 from toxiscope.schema import TEXT_COL
-from toxiscope.session import cut_lineage, drop_path, scratch_path
+from toxiscope.session import cut_lineage, drop_path, scratch_path, spread_partitions
 
 
 def score_stream(messages: DataFrame, features: PipelineModel, models: dict, key: str) -> DataFrame:
@@ -78,7 +78,11 @@ def stream_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         for label in DRIVER_LABELS
     }
     table = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    stream = read_table_stream(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+    stream = read_table_stream(spark, f"{sf_dir.rstrip('/')}/documents.parquet").select("doc_id", "text")
+    # files of few row groups would be scored by as few tasks; the stream is dealt out like the table
+    docs = table.select("doc_id", "text")
+    n = spread_partitions(docs)
+    stream, docs = (stream.repartition(n, "doc_id"), docs.repartition(n, "doc_id")) if n else (stream, docs)
     text = F.coalesce(clean_text("text"), F.lit("")).alias(TEXT_COL)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     q = start_scoring(score_stream(stream.select("doc_id", text), fm, models, "doc_id"), sink, ckpt)
@@ -87,7 +91,7 @@ def stream_score_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = {label: n for label in models if (n := {r["label"]: r["count"] for r in got}.get(label, 0)) < asked}
     if short:
         raise RuntimeError(f"the stream committed {short} rows of {asked} rows a label")
-    batch = score_labels(fm.transform(table.select("doc_id", text)), models, "doc_id")
+    batch = score_labels(fm.transform(docs.select("doc_id", text)), models, "doc_id")
     theirs = batch.select("doc_id", "label", F.col("prediction").alias("p"), F.col("probability").alias("b"))
     same = F.col("prediction").eqNullSafe(F.col("p")) & (F.abs(F.col("probability") - F.col("b")) < 1e-9)
     found = cut_lineage(
