@@ -42,3 +42,12 @@ def test_render_metrics(spark):
     assert rows["acc"] == "0.6"
     assert rows["f1"] == "0.6666666666666666 | 0.5"
     assert rows["FPR"] == "0.5 | NaN"
+
+
+def test_empty_message_files_are_empty_messages(spark, tmp_path):
+    texts = {"a b%1.txt": "x", "é#.txt": "y\nz", "2.txt": "", "c d.txt": "", "_skip.txt": "no", "sp ace.txt": " "}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    rows = read_messages(spark, str(tmp_path)).collect()
+    assert sorted(r.clean_comment for r in rows) == ["", "", " ", "x", "y\nz"]
+    assert len({r.message_id for r in rows}) == 5

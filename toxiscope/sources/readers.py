@@ -66,14 +66,21 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Message files, one message per file (lines are kept, joined by newlines).
 
     Unlike collecting the lines to the driver and concatenating them, every file
-    stays a row, so a folder of any size is read in parallel.
+    stays a row, so a folder of any size is read in parallel. A file without any byte is
+    the empty message; Spark's readers skip it, so it comes from the listing of the files.
     Schema: ``message_id long, clean_comment string``.
     """
     df = spark.read.text(path, wholetext=True)
-    return df.select(
+    read = df.select(
         F.xxhash64(F.col("_metadata.file_path")).alias("message_id"),
         F.col("value").alias(TEXT_COL),
     )
+    # the listing writes file:///x where the rows' path is file:/x
+    name = F.regexp_replace("file", "^([^:/]+):///", "$1:/")
+    listed = spark.createDataFrame([(f,) for f in df.inputFiles()], "file string").select(
+        F.xxhash64(name).alias("message_id"), F.lit("").alias(TEXT_COL)
+    )
+    return read.unionByName(listed.join(read.select("message_id"), "message_id", "left_anti"))
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
