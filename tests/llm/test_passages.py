@@ -135,3 +135,60 @@ def test_passages_of_short_sentences_are_found(spark):
         elif i != 300:
             assert left[i] == t
     assert left[300].count("Ha ha.") >= 4  # the first paragraph stays whole
+
+
+def test_words_are_hashed_together_and_as_the_library_does(monkeypatch):
+    import xxhash
+
+    rng, one, calls = random.Random(7), xxhash.xxh64_intdigest, []
+    words = [bytes(rng.randrange(33, 256) for _ in range(n)) for n in range(1, 70)] * 3
+    rng.shuffle(words)
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda *a: calls.append(a) or one(*a))
+    for some in (1, 7, 1000):
+        assert passages.word_hashes(b" ".join(words), some).tolist() == [one(w) for w in words]
+    calls.clear()
+    passages.gram_hashes([b"short words only in here", b"two more"])
+    assert not calls
+
+
+def test_shingles_are_hashed_by_their_words():
+    import xxhash
+
+    bodies = [b"a b c d e f g", b"x", b"c d e f g", b"y z"]
+    found, first = passages.gram_hashes(bodies)
+    expected, begins = [], []
+    for body in bodies:
+        words = body.split(b" ")
+        begins.append(len(expected))
+        for i in range(max(1, len(words) - 4)):
+            h = 1
+            for w in words[i : i + 5]:
+                h = (h * 0x9E3779B97F4A7C15 + xxhash.xxh64_intdigest(w)) % (1 << 64)
+            expected.append(h ^ (h >> 32))
+    assert found.tolist() == expected and first.tolist() == begins
+
+
+def test_paragraphs_are_the_least_runs_of_units():
+    rng = random.Random(8)
+    sizes = [[rng.randrange(1, 12) for _ in range(rng.randrange(0, 15))] for _ in range(60)]
+    texts = ["\n".join(" ".join(f"w{rng.randrange(9)}" for _ in range(n)) for n in text) for text in sizes]
+    which, cols, uid, body = passages._cut_batch(texts, 8)
+    found = list(zip(which.tolist(), cols["place"].tolist(), cols["last"].tolist()))
+    expected = []
+    for t, text in enumerate(sizes):
+        for i in range(len(text)):
+            for j in range(i, len(text)):
+                total = sum(text[i : j + 1])
+                if total >= 8 and (total - text[j] < 8 or total - text[i] < 8):
+                    expected.append((t, i, j))
+    assert found == expected
+    for k, (t, i, j) in enumerate(expected):
+        assert cols["before"][k] == sum(sizes[t][:i]) and cols["words"][k] == sum(sizes[t][i : j + 1])
+        long = next((x for x in range(j + 1, len(sizes[t])) if sizes[t][x] >= 8), len(sizes[t]))
+        assert cols["reach"][k] == long
+        whole = " ".join(texts[t].split("\n")[i : j + 1]).encode()
+        exact = i < j and max(sizes[t][i : j + 1]) >= 8
+        assert texts[t][cols["start"][k] : cols["end"][k]].split() == whole.decode().split()
+        assert body[k] is None if exact else body[k] in (None, whole)
+    firsts = [b for b in body if b is not None]
+    assert len(firsts) == len(set(firsts)) == len({u for u, (t, i, j) in zip(uid.tolist(), expected) if i == j or max(sizes[t][i : j + 1]) < 8})

@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +49,9 @@ BLOCK = 256
 WAVE = 4
 SEED = 8
 
-BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
+#: White space after a sentence's end (matched with it), or line breaks; the alternatives begin
+#: with letters, not classes, so that the search skips all other characters quickly.
+BREAK = re.compile(r"\n\n*|\.\s+|!\s+|\?\s+")
 
 
 def tune_bands(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = BAND_ROWS) -> int:
@@ -62,8 +63,9 @@ def units(text: str) -> Iterator[tuple[int, int]]:
     """Begin and end (code points) of the units between breaks."""
     begin = 0
     for m in BREAK.finditer(text):
-        yield begin, m.start()
-        begin = m.end()
+        first, last = m.span()
+        yield begin, first + (text[first] != "\n")
+        begin = last
     yield begin, len(text)
 
 
@@ -77,70 +79,55 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def paragraphs_of(words: list[int], min_unit: int) -> list[tuple[int, int]]:
-    """First and last unit of every paragraph, in order; ``words`` counts those of each unit."""
-    found, j, total = set(), 0, 0
-    for i, n in enumerate(words):  # the fewest units forward
-        while j < len(words) and total < min_unit:
-            total, j = total + words[j], j + 1
-        if total < min_unit:
-            break
-        found.add((i, j - 1))
-        total -= n
-    i, total = 0, 0
-    for j, n in enumerate(words):  # the fewest units back
-        total += n
-        while total - words[i] >= min_unit:
-            total, i = total - words[i], i + 1
-        if total >= min_unit:
-            found.add((i, j))
-    return sorted(found)
-
-
-def _cut_batch(texts: list, min_unit: int) -> tuple[np.ndarray, dict[str, np.ndarray], list, list]:
+def paragraphs_of(upto: np.ndarray, base: np.ndarray, stop: np.ndarray, min_unit: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last unit of every paragraph of some texts, in order; ``upto`` counts the words before
+    each unit (and in all), ``base`` and ``stop`` are the first unit and the end of each unit's text."""
+    n = len(base)
+    ahead = np.searchsorted(upto, upto[:-1] + min_unit) - 1  # the fewest units forward
+    back = np.searchsorted(upto, upto[1:] - min_unit, side="right") - 1  # the fewest units back
+    a, b = np.flatnonzero(ahead < stop), np.flatnonzero(back >= base)
+    found = np.unique(np.concatenate([a * n + ahead[a], back[b] * n + b]))
+    return found // max(n, 1), found % max(n, 1)
+
+
+def _cut_batch(texts: list, min_unit: int) -> tuple[np.ndarray, dict[str, np.ndarray], np.ndarray, list]:
     """The paragraphs of some texts: text number, columns, uids, and the first body of each uid."""
     import xxhash
 
-    begin, end, size, before, here, after = [], [], [], [], [], []  # of every unit
-    which, first, last, uid, body, seen = [], [], [], [], [], set()
-    for i, text in enumerate(texts):
-        low = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
-        cut = [(x, y, got) for x, y in units(low) if (got := low[x:y].encode("utf-8", "surrogatepass").split())]
-        sizes = [len(u[2]) for u in cut]
-        words = [w for u in cut for w in u[2]]
-        upto = [0, *accumulate(sizes)]
-        reach = [len(cut)] * (len(cut) + 1)
-        for p in range(len(cut) - 1, -1, -1):
-            reach[p] = p if sizes[p] >= min_unit else reach[p + 1]
-        base = len(begin)
-        begin += [u[0] for u in cut]
-        end += [u[1] for u in cut]
-        size += sizes
-        before += upto[:-1]
-        here += reach[:-1]
-        after += reach[1:]
-        for p, q in paragraphs_of(sizes, min_unit):
-            joined = b" ".join(words[upto[p] : upto[q + 1]])
-            u = xxhash.xxh64_intdigest(joined, SEED)
-            exact = p < q and reach[p] <= q
-            body.append(None if exact or u in seen else joined)
-            if not exact:
-                seen.add(u)
-            which.append(i)
-            first.append(base + p)
-            last.append(base + q)
-            uid.append(u)
-    begin, end, size, before, here, after = (np.array(x, np.int64) for x in (begin, end, size, before, here, after))
-    p, q = np.array(first, np.int64), np.array(last, np.int64)
-    offset = np.zeros(len(begin), np.int64)  # unit number within its text
-    starts = np.flatnonzero(before == 0)
-    offset[starts] = np.diff(np.concatenate([[0], starts]))
-    place = np.arange(len(begin)) - np.cumsum(offset)
+    begin, end, pieces, counts = [], [], [], []  # of every unit, and the units of every text
+    for text in texts:
+        raw = text.encode("utf-8", "surrogatepass").lower()  # A-Z only
+        low = raw.decode("utf-8", "surrogatepass")
+        plain, before = len(raw) == len(low), len(pieces)
+        for x, y in units(low):
+            got = (raw[x:y] if plain else low[x:y].encode("utf-8", "surrogatepass")).split()
+            if got:
+                begin.append(x)
+                end.append(y)
+                pieces.append(b" ".join(got))
+        counts.append(len(pieces) - before)
+    n, whole, counts = len(pieces), b" ".join(pieces), np.array(counts, np.int64)
+    at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, n) + 1)])  # where each begins in it
+    size = np.fromiter((u.count(b" ") + 1 for u in pieces), np.int64, n)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    stop = np.repeat(np.cumsum(counts), counts)  # the end of each unit's text
+    base = stop - np.repeat(counts, counts)
+    p, q = paragraphs_of(upto, base, stop, min_unit)
+    reach = np.append(np.where(size >= min_unit, np.arange(n), n), n)  # the next unit of that size
+    reach = np.minimum.accumulate(reach[::-1])[::-1]
+    exact = (p < q) & (reach[p] <= q)
+    spans = np.stack([at[p], at[q + 1] - 1], axis=1).tolist()
+    uid = np.fromiter((xxhash.xxh64_intdigest(whole[x:y], SEED) for x, y in spans), np.uint64, len(spans))
+    loose = np.flatnonzero(~exact)
+    held = np.zeros(len(spans), bool)
+    held[loose[np.unique(uid[loose], return_index=True)[1]]] = True
+    body = [whole[x:y] if k else None for (x, y), k in zip(spans, held.tolist())]
+    begin, end = np.array(begin, np.int64), np.array(end, np.int64)
     cols = {
-        "place": place[p], "last": place[q], "reach": after[q], "start": begin[p], "end": end[q], "before": before[p],
-        "words": before[q] + size[q] - before[p],
+        "place": p - base[p], "last": q - base[q], "reach": np.minimum(reach[q + 1], stop[q]) - base[q],
+        "start": begin[p], "end": end[q], "before": upto[p] - upto[base[p]], "words": upto[q + 1] - upto[p],
     }
-    return np.array(which, np.int32), cols, uid, body
+    return np.repeat(np.arange(len(texts), dtype=np.int32), counts)[p], cols, uid, body
 
 
 def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: int) -> DataFrame:
@@ -164,7 +151,7 @@ def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: i
                 kept = [c.take(pa.array(which)) for c in b.columns[:2]]
                 data = [pa.array(c if n == "before" else c.astype(np.int32)) for n, c in cols.items()]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, *data, pa.array(np.array(uid, np.uint64).view(np.int64)),
+                    [*kept, *data, pa.array(uid.view(np.int64)),
                      pa.array(body, pa.binary()).cast(pa.string())],
                     ["row", "id", *cols, "uid", "body"],
                 )
@@ -176,23 +163,69 @@ def cut_units(docs: DataFrame, key: str, text: str, row: str | None, min_unit: i
     return slim.mapInArrow(run, schema)
 
 
-def gram_hashes(bodies: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of all bodies in a row (word hashes combined), and where each body's begin."""
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def word_hashes(text: bytes, some: int = 1 << 16) -> np.ndarray:
+    """XXH64 of each word between single blanks, of ``some`` words at a time (a call for each word
+    took most of the time of the signatures); long words by the library."""
     import xxhash
 
-    flat = b" ".join(bodies).split(b" ")
-    words = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
+    raw = np.frombuffer(text + b" " * 8, np.uint8)
+    begins = np.concatenate([[0], np.flatnonzero(raw[: len(text) + 1] == 32) + 1])
+    lanes, halves = (np.ndarray(len(raw) - 7, t, raw, 0, (1,)) for t in ("<u8", "<u4"))  # from every byte on
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+    ))
+    out = np.empty(len(begins) - 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for first in range(0, len(out), some):
+            here = begins[first : first + some + 1]
+            at, length = here[:-1].copy(), np.diff(here) - 1
+            h = length.astype(np.uint64) + p5
+            for k in range(3):
+                i = np.flatnonzero((length < 32) & (length >= 8 * (k + 1)))
+                h[i] = _turned(h[i] ^ (_turned(lanes[at[i]] * p2, 31) * p1), 27) * p1 + p4
+                at[i] += 8
+            i = np.flatnonzero(length % 8 >= 4)
+            h[i] = _turned(h[i] ^ (halves[at[i]].astype(np.uint64) * p1), 23) * p2 + p3
+            at[i] += 4
+            for k in range(3):
+                i = np.flatnonzero(length % 4 > k)
+                h[i] = _turned(h[i] ^ (raw[at[i]].astype(np.uint64) * p5), 11) * p1
+                at[i] += 1
+            h = (h ^ (h >> np.uint64(33))) * p2
+            h = (h ^ (h >> np.uint64(29))) * p3
+            h ^= h >> np.uint64(32)
+            for i in np.flatnonzero(length >= 32):
+                h[i] = xxhash.xxh64_intdigest(text[here[i] : here[i + 1] - 1])
+            out[first : first + some] = h
+    return out
+
+
+def gram_hashes(bodies: list[bytes], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all bodies in a row (word hashes combined), and where each body's begin."""
+    words = word_hashes(b" ".join(bodies))
+    n = len(words)
     sizes = np.array([body.count(b" ") + 1 for body in bodies], np.int64)
-    ends = np.cumsum(sizes)
+    begins = np.cumsum(sizes) - sizes
     grams = np.maximum(sizes - shingle + 1, 1)
     first = np.cumsum(grams) - grams
-    at = np.arange(grams.sum()) + np.repeat(ends - sizes - first, grams)  # first word of every shingle
-    end = np.repeat(ends, grams)
-    x = np.ones(len(at), np.uint64)
+    factor = np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        for _ in range(shingle):
-            x = np.where(at < end, x * np.uint64(0x9E3779B97F4A7C15) + words[np.minimum(at, len(words) - 1)], x)
-            at += 1
+        words = np.append(words, np.zeros(shingle, np.uint64))
+        x = np.ones(n, np.uint64)  # of the words from each place on
+        for k in range(shingle):
+            x *= factor
+            x += words[k : k + n]
+        # a body's last places begin no shingle of its own
+        x = x[np.arange(grams.sum()) + np.repeat(begins - first, grams)]
+        for i in np.flatnonzero(sizes < shingle):
+            y = np.ones(1, np.uint64)
+            for w in words[begins[i] : begins[i] + sizes[i]]:
+                y = y * factor + w
+            x[first[i]] = y[0]
         x ^= x >> np.uint64(32)
     return x, first
 
@@ -409,10 +442,11 @@ def repeated_passages(
     far = F.max("reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
     runs = marked.withColumn("new", F.coalesce((F.col("place") > far).cast("int"), F.lit(1)))
     runs = runs.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    order = F.shiftleft(F.col("place").cast("long"), 32) + F.col("last")  # a number, so that the groups are hashed
     spans = runs.groupBy("row", "removed", "run").agg(
         F.min("id").alias(key), F.min("start").alias("start"), F.max("end").alias("end"),
         (F.max(F.col("before") + F.col("words")) - F.min("before")).cast("long").alias("words"),
-        F.count(F.lit(1)).alias("n_units"), F.min_by("cluster", F.struct("place", "last")).alias("cluster_id"),
+        F.count(F.lit(1)).alias("n_units"), F.min_by("cluster", order).alias("cluster_id"),
     )
     return spans.where(F.col("words") >= min_passage).select(
         "row", key, "start", (F.col("end") - F.col("start")).alias("length"), "words", "n_units", "cluster_id", "removed"
